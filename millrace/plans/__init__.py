@@ -6,7 +6,7 @@ import importlib
 
 from millrace.registry import QUERIES, Query
 
-SUBJECTS = ("sales", "ordered")
+SUBJECTS = ("sales", "ordered", "quality", "cleaning", "scalars")
 
 
 def load_all() -> dict[str, Query]:
