@@ -6,7 +6,7 @@ import importlib
 
 from millrace.registry import QUERIES, Query
 
-SUBJECTS = ("sales", "ordered", "quality", "cleaning", "scalars")
+SUBJECTS = ("sales", "ordered", "quality", "cleaning", "scalars", "detection")
 
 
 def load_all() -> dict[str, Query]:
