@@ -496,8 +496,6 @@ def class_scores(
     if activation == "softmax":
         top = F.array_max(values)
         exps = F.transform(values, lambda v: F.exp((v - top).cast("double")))
-        scores = F.transform(exps, lambda e: e / F.aggregate(exps, F.lit(0.0), lambda a, x: a + x))
-        # One pass for the sum, then one row per class.
         rows = df.withColumn("_e", exps).withColumn("_sum", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x))
         rows = rows.select(*df.columns, "_sum", F.posexplode("_e").alias("class_id", "_v"))
         rows = rows.withColumn("score", F.col("_v") / F.col("_sum")).drop("_v", "_sum")

@@ -2,13 +2,73 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import stable_bucket
-from millrace.operators.ordered import join_on
+from millrace.operators.ordered import BLOCK, HOME, ORDINAL, _blocks, join_on, with_ordinal
+
+
+# --- splits ---------------------------------------------------------------------
+
+
+def stratified_split(
+    df: DataFrame, label: str, key: Sequence[str], shares: dict[str, float], seed: int = 42, name: str = "split"
+) -> DataFrame:
+    """Assign each row to a named split with exact shares within every class.
+
+    Rows are ordered by a digest of their key, so a row's place does not depend
+    on partitions or on the run. The last split takes what rounding leaves.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    salted = df.withColumn("_h", stable_bucket([F.lit(str(seed)), *keys], 1 << 30))
+    numbered = with_ordinal(salted, ["_h", *keys], [label])
+    sizes = df.groupBy(label).agg(F.count("*").alias("_size"))
+    placed = join_on(numbered, sizes, [label], "inner")
+    names, upto, out = list(shares), 0.0, None
+    for split in names[:-1]:
+        upto += shares[split]
+        inside = F.col(ORDINAL) <= F.round(F.col("_size") * F.lit(round(upto, 12)))
+        out = F.when(inside, split) if out is None else out.when(inside, split)
+    out = F.lit(names[-1]) if out is None else out.otherwise(F.lit(names[-1]))
+    return placed.withColumn(name, out).select(*df.columns, name)
+
+
+def folds(df: DataFrame, key: Sequence[str], k: int = 5, name: str = "fold") -> DataFrame:
+    """Fold number 0..k-1 from a digest of the key."""
+    return df.withColumn(name, stable_bucket(key, k).cast("int"))
+
+
+# --- encoding -------------------------------------------------------------------
+
+
+def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
+    """Code 0..k-1 by alphabetical order of the values as text; NULL reads ``nan``."""
+    for column in columns:
+        value = F.coalesce(F.col(column).cast("string"), F.lit("nan"))
+        codes = with_ordinal(df.select(value.alias("_v")).distinct(), ["_v"], name="_o").select(
+            "_v", (F.col("_o") - 1).alias(f"{column}{suffix}")
+        )
+        df = df.withColumn("_v", value).join(codes, "_v").drop("_v")
+    return df
+
+
+def one_hot(df: DataFrame, column: str, values: Sequence | None = None, max_values: int = 1_000) -> DataFrame:
+    """A 0/1 column ``<column>_<value>`` per value."""
+    if values is None:
+        found = df.select(column).distinct().orderBy(column).limit(max_values + 1).collect()
+        if len(found) > max_values:
+            raise ValueError(f"{column} has more than {max_values} values; use label_encode")
+        values = [r[0] for r in found if r[0] is not None]
+    return df.withColumns(
+        {f"{column}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)) for v in values}
+    )
+
+
+# --- scaling --------------------------------------------------------------------
 
 
 def zscore(df: DataFrame, columns: Sequence[str], population: bool = True, suffix: str = "") -> DataFrame:
@@ -26,3 +86,85 @@ def minmax(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame
     return df.withColumns(
         {f"{c}{suffix}": F.try_divide(F.col(c) - stats[c]["lo"], stats[c]["hi"] - stats[c]["lo"]) for c in columns}
     )
+
+
+# --- class balance ----------------------------------------------------------------
+
+
+def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
+    """Weight rows so that every class counts the same in total."""
+    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
+    whole = counts.agg(F.struct(F.sum("_n").alias("n"), F.count("*").alias("k")).alias("s")).scalar()
+    weights = counts.select(label, (whole["n"] / (whole["k"] * F.col("_n"))).alias(name))
+    return join_on(df, weights, [label], "inner")
+
+
+def oversample(
+    df: DataFrame, label: str, features: Sequence[str], key: str, neighbours: int = 5, seed: int = 42
+) -> DataFrame:
+    """Add rows between neighbours until every class is as large as the largest.
+
+    Neighbours of a row are the rows next to it along random directions, within
+    its class: sorting along a direction is linear in the rows, where comparing
+    all rows of a class is not. Added rows have a NULL key and ``synthetic``.
+    """
+    features = list(features)
+    rng = random.Random(seed)
+    scaled = zscore(df.select(label, key, *features), features, suffix="_z")
+    pairs = None
+    for i in range(neighbours):
+        along = sum((F.coalesce(F.col(f"{c}_z"), F.lit(0.0)) * rng.gauss(0, 1) for c in features), F.lit(0.0))
+        numbered = with_ordinal(scaled.withColumn("_along", along), ["_along", key], [label])
+        frame = Window.partitionBy(label, BLOCK).orderBy(ORDINAL)
+        shifted = _blocks(numbered, 1).withColumn("_other", F.lag(F.struct(*features)).over(frame))
+        found = shifted.filter((F.col(BLOCK) == F.col(HOME)) & F.col("_other").isNotNull())
+        part = found.select(label, key, *features, "_other", F.lit(i).alias("_dir"))
+        pairs = part if pairs is None else pairs.union(part)
+    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
+    top = sizes.agg(F.max("_n")).scalar()
+    # Each neighbour pair of a class of n rows gives this many rows or one more.
+    missing = sizes.select(label, F.col("_n"), (top - F.col("_n")).alias("_missing")).filter("_missing > 0")
+    ranked = with_ordinal(pairs, [stable_bucket([F.lit(str(seed)), key, "_dir"], 1 << 30), key, "_dir"], [label], "_rank")
+    totals = pairs.groupBy(label).agg(F.count("*").alias("_pairs"))
+    sized = join_on(join_on(ranked, missing, [label], "inner"), totals, [label], "inner")
+    each = F.floor(F.col("_missing") / F.col("_pairs")) + F.when(
+        F.col("_rank") <= F.col("_missing") % F.col("_pairs"), 1
+    ).otherwise(0)
+    copies = sized.withColumn("_times", each).filter("_times > 0").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))
+    )
+    share = stable_bucket([F.lit(str(seed)), key, "_dir", "_copy"], 1_000_000) / 1_000_000
+    new = copies.select(
+        label, F.lit(None).cast(df.schema[key].dataType).alias(key),
+        *[(F.col(c) + (F.col("_other")[c] - F.col(c)) * share).cast("double").alias(c) for c in features],
+        F.lit(True).alias("synthetic"),
+    )
+    own = df.select(label, key, *[F.col(c).cast("double") for c in features], F.lit(False).alias("synthetic"))
+    return own.unionByName(new)
+
+
+# --- selection -----------------------------------------------------------------------
+
+
+def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """F statistic of each feature between the classes."""
+    per_class = df.groupBy(label).agg(
+        *[
+            F.struct(
+                F.count(c).alias("n"), F.avg(c).cast("double").alias("m"), F.var_pop(c).alias("v"), F.lit(c).alias("feature")
+            ).alias(c)
+            for c in features
+        ]
+    )
+    rows = per_class.select(F.explode(F.array(*features)).alias("r")).select("r.*").filter("n > 0")
+    total = F.sum("n")
+    mean = F.sum(F.col("n") * F.col("m")) / total
+    within = F.sum(F.col("n") * F.col("v"))
+    spread = F.sum(F.col("n") * F.col("m") * F.col("m")) - total * mean * mean
+    f_value = F.try_divide(spread / (F.count("*") - 1), within / (total - F.count("*")))
+    return rows.groupBy("feature").agg(f_value.alias("f_value"))
+
+
+def select_k_best(df: DataFrame, features: Sequence[str], label: str, k: int = 20) -> DataFrame:
+    """The ``k`` features with the largest F."""
+    return anova_f(df, features, label).orderBy(F.desc_nulls_last("f_value"), "feature").limit(k)
