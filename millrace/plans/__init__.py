@@ -6,7 +6,7 @@ import importlib
 
 from millrace.registry import QUERIES, Query
 
-SUBJECTS = ("sales", "ordered", "quality", "cleaning", "scalars", "detection", "text", "learning")
+SUBJECTS = ("sales", "ordered", "quality", "cleaning", "scalars", "detection", "text", "learning", "sources", "streams")
 
 
 def load_all() -> dict[str, Query]:
