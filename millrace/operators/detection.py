@@ -202,7 +202,7 @@ def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> Da
             F.bool_and(F.col("_order") == F.col("_first")).alias("_leads")
         )
         new = pin(remaining.join(seen.filter("_leads").drop("_leads"), [*keys, "_id"], "left_semi"))
-        leaders = leaders.union(new)
+        leaders = leaders.unionByName(new)
         lead = _with_cells(new, iou_threshold).select(
             *cell_keys, F.struct("x1", "y1", "x2", "y2").alias("_lead")
         )
@@ -325,8 +325,11 @@ def match_boxes(
     places = targets.groupBy(*keys, *_TARGET).agg(F.count("*").alias("places"))
     order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_by)], F.col(box_id).alias("id"))
     slim = predictions.select(*keys, order.alias("order"), F.col(box_id).alias("id"), *_TARGET)
-    pairs = iou_join(slim, places, keys, iou_threshold, limit).select(
-        *keys, "l_order", "l_id", F.struct(*[f"r_{c}" for c in _TARGET]).alias("target"), "r_places", "iou"
+    # Overlapping pairs are few; keep them, as they are read more than once.
+    pairs = pin(
+        iou_join(slim, places, keys, iou_threshold, limit).select(
+            *keys, "l_order", "l_id", F.struct(*[f"r_{c}" for c in _TARGET]).alias("target"), "r_places", "iou"
+        )
     )
     large = _large_groups(pairs.select(*keys), keys, limit)
     if large is None:
@@ -479,7 +482,7 @@ def prior_grid(spark, feature_maps: Sequence[int], aspect_ratios: Sequence[Seque
 def anchor_shapes(spark) -> DataFrame:
     """Anchor widths and heights: three scales by three aspect ratios."""
     # Anchor scale, octave steps and ratios.
-    size, octaves, ratios = 4, [2 ** 0, 2 ** (1.0 / 3.0), 2 ** (2.0 / 3.0)], [0.5, 1.0, 2.0]
+    size, octaves, ratios = 4, [1.0, 2 ** (1.0 / 3.0), 2 ** (2.0 / 3.0)], [0.5, 1.0, 2.0]
     rows = [(s, r, size * s / math.sqrt(r), size * s * math.sqrt(r)) for s in octaves for r in ratios]
     return spark.createDataFrame(rows, "octave double, ratio double, w double, h double")
 

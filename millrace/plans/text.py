@@ -9,7 +9,7 @@ from millrace.operators import aggregate as agg
 from millrace.operators import terms
 from millrace.plans.sales import _round
 from millrace.registry import query
-from millrace.tables import table
+from millrace.tables import documents, table
 
 # A short list for the checks; callers pass their own.
 STOP_WORDS = ("the", "and", "of", "to", "in", "is", "it", "for", "on", "with", "as", "at", "by", "an", "be", "or",
@@ -27,7 +27,7 @@ def _clean_sql(value):
 @query("clean_text", "TXT-01 TXT-10", f"""
 SELECT doc_id, {_clean_sql("text")} AS cleaned_text FROM documents""")
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.clean_text("text").alias("cleaned_text"))
+    return documents(spark, sf_dir).select("doc_id", tx.clean_text("text").alias("cleaned_text"))
 
 
 @query("clean_urls_and_mail", "TXT-01", f"""
@@ -54,7 +54,7 @@ SELECT doc_id, length(text) AS length, len({_WORDS}) AS num_words, {_count(r'\p{
 FROM documents""")
 def surface_features(spark, sf_dir):
     cols = [c.alias(n) for n, c in tx.surface_features("text").items()]
-    return _round(table(spark, sf_dir, "documents").select("doc_id", *cols), 6)
+    return _round(documents(spark, sf_dir).select("doc_id", *cols), 6)
 
 
 @query("word_features", "TXT-03", rf"""
@@ -67,7 +67,7 @@ SELECT doc_id, round(coalesce(list_avg(ls), 0), 6) AS avg_word_length,
 FROM l""")
 def word_features(spark, sf_dir):
     cols = [c.alias(n) for n, c in tx.word_features("text").items()]
-    return _round(table(spark, sf_dir, "documents").select("doc_id", *cols), 6)
+    return _round(documents(spark, sf_dir).select("doc_id", *cols), 6)
 
 
 @query("labelled_text", "TXT-10", f"""
@@ -83,7 +83,7 @@ def labelled_text(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("content_tokens", "TXT-04 UDF-04", rf"""
@@ -93,7 +93,7 @@ e AS (SELECT doc_id, unnest(range(len(ts))) AS position, unnest(ts) AS token FRO
 forms AS (SELECT DISTINCT token AS form, token[1:-2] AS lemma FROM e WHERE length(token) > 4 AND token LIKE '%s' AND token NOT LIKE '%ss')
 SELECT doc_id, position::INT AS position, coalesce(lemma, token) AS token FROM e LEFT JOIN forms ON token = form""")
 def content_tokens(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     seen = docs.select(F.explode(terms.tokens("text", STOP_WORDS)).alias("form")).distinct()
     plural = (F.length("form") > 4) & F.col("form").endswith("s") & ~F.col("form").endswith("ss")
     lemmas = seen.filter(plural).withColumn("lemma", F.expr("substring(form, 1, length(form) - 1)"))
@@ -149,7 +149,7 @@ def binary_counts(spark, sf_dir):
 SELECT word, count(*) AS n FROM (SELECT unnest(list_filter(string_split({_clean_sql("text")}, ' '), lambda w: w <> '')) AS word FROM documents)
 GROUP BY 1 ORDER BY n DESC, word LIMIT 100""")
 def word_frequency(spark, sf_dir):
-    return terms.word_frequency(table(spark, sf_dir, "documents"), tx.clean_text("text"))
+    return terms.word_frequency(documents(spark, sf_dir), tx.clean_text("text"))
 
 
 @query("length_by_class", "TXT-12 AGG-09", r"""

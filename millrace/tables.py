@@ -10,6 +10,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Hand the rows of a scan with fewer splits than cores to all cores.
+
+    For heavy work per row on a few large files; a scan with enough splits, as
+    on large tables, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales fact table at line level with its customer region.
 
