@@ -21,7 +21,12 @@ from millrace.session import pin
 # Largest group handled inside one row.
 GROUP_LIMIT = 1_000
 
+# Pairs compared per round of a large group: at least this many, and so many per box.
+PAIR_BUDGET = 5_000_000
+PAIRS_PER_BOX = 50
+
 _CELL = ["_level", "_cx", "_cy"]
+_TARGET = ["x1", "y1", "x2", "y2"]
 
 
 # --- grid ---------------------------------------------------------------------
@@ -187,30 +192,45 @@ def _groups_in_rows(df, keys, box_id, iou_threshold, inclusive, columns) -> Data
 
 
 def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> DataFrame:
-    """Large groups: each round, every box that comes first in all its cells
-    leads, and the boxes it covers are settled with it. At most one leader per
-    cell and round, so a round is linear in the boxes still open."""
-    cell_keys = [*keys, *_CELL]
-    slim = pin(df.select(*keys, "_order", F.col(box_id).alias("_id"), "x1", "y1", "x2", "y2"))
-    flat = slim.filter(_level_of(iou_threshold, bx.corners()).isNull())
-    leaders = flat  # a box without extent covers nothing and is never covered
-    remaining = pin(slim.filter(_level_of(iou_threshold, bx.corners()).isNotNull()))
-    while not remaining.isEmpty():
-        cells = _with_cells(remaining, iou_threshold)
-        firsts = cells.groupBy(*cell_keys).agg(F.min("_order").alias("_first"))
-        seen = cells.join(firsts, cell_keys).groupBy(*keys, "_id").agg(
-            F.bool_and(F.col("_order") == F.col("_first")).alias("_leads")
-        )
-        new = pin(remaining.join(seen.filter("_leads").drop("_leads"), [*keys, "_id"], "left_semi"))
+    """Large groups, by prefixes of the order.
+
+    A prefix as long as its pairs stay linear in the boxes is settled by the
+    overlaps inside it; its leaders then settle every later box they cover, which
+    thins out what the next prefix has to compare. Copies of a box only compete
+    once, through the first of them.
+    """
+    if not inclusive and iou_threshold >= 1:
+        return df.select(*columns, F.col(box_id).alias("leader_id"))
+    cell_keys, id_keys = [*keys, *_CELL], [*keys, "_id"]
+    slim = df.select(*keys, "_order", F.col(box_id).alias("_id"), *_TARGET)
+    # A box without extent covers nothing and is never covered.
+    firsts = (
+        slim.filter(_level_of(iou_threshold, bx.corners()).isNotNull())
+        .groupBy(*keys, *_TARGET).agg(F.min("_order").alias("_order"))
+        .select(*keys, "_order", F.col("_order.id").alias("_id"), *_TARGET)
+    )
+    remaining = pin(with_ordinal(firsts, ["_order"], keys, "_rank"))
+    leaders = remaining.limit(0)
+    while True:
+        n, pairs = _pair_estimate(remaining, cell_keys, iou_threshold)
+        if n == 0:
+            break
+        share = min(1.0, math.sqrt(max(PAIR_BUDGET, PAIRS_PER_BOX * n) / max(pairs, 1)))
+        cut = remaining.agg(F.percentile_approx("_rank", share, 10_000)).first()[0]
+        prefix = remaining.filter(F.col("_rank") <= cut)
+        overlaps = iou_join(prefix.select(*id_keys, "_order", *_TARGET), prefix.select(*id_keys, "_order", *_TARGET), keys, iou_threshold, 0)
+        ordered = overlaps.filter(F.col("l__order") < F.col("r__order"))
+        if not inclusive:
+            ordered = ordered.filter(F.col("iou") > iou_threshold)
+        edges = pin(ordered.select(*keys, F.col("l__id").alias("_src"), F.col("r__id").alias("_id")))
+        new = _settle(prefix, edges, keys)
         leaders = leaders.unionByName(new)
-        lead = _with_cells(new, iou_threshold).select(
-            *cell_keys, F.struct("x1", "y1", "x2", "y2").alias("_lead")
+        lead = _with_cells(new, iou_threshold).select(*cell_keys, F.struct(*_TARGET).alias("_lead"))
+        later = remaining.filter(F.col("_rank") > cut)
+        covered = _with_cells(later, iou_threshold).join(lead, cell_keys).filter(
+            _hits(F.col("_lead"), F.struct(*_TARGET), iou_threshold, inclusive)
         )
-        covered = cells.join(lead, cell_keys).filter(
-            _hits(F.col("_lead"), F.struct("x1", "y1", "x2", "y2"), iou_threshold, inclusive)
-        )
-        settled = covered.select(*keys, "_id").union(new.select(*keys, "_id"))
-        remaining = pin(remaining.join(settled, [*keys, "_id"], "left_anti"))
+        remaining = pin(later.join(covered.select(*id_keys).distinct(), id_keys, "left_anti"))
     leaders = pin(leaders)
     # Leaders of one cell hardly overlap each other, so only a few share a cell.
     lead = _with_cells(leaders, iou_threshold).select(
@@ -232,6 +252,33 @@ def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> Da
     return joined.select(*columns, F.coalesce("leader_id", box_id).alias("leader_id"))
 
 
+def _pair_estimate(df: DataFrame, cell_keys: Sequence[str], iou_threshold: float) -> tuple[int, int]:
+    """Boxes, and pairs that would meet in a cell."""
+    per_cell = _with_cells(df, iou_threshold).groupBy(*cell_keys).agg(F.count("*").alias("_n"))
+    pairs = per_cell.agg(F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.lit(0.0))).first()[0]
+    return df.count(), int(pairs)
+
+
+def _settle(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Leaders among ``nodes``: a box leads when no open box before it overlaps
+    it; what it overlaps is settled. ``edges`` run from earlier to later boxes."""
+    id_keys = [*keys, "_id"]
+    leaders = nodes.limit(0)
+    while not edges.isEmpty():
+        new = pin(nodes.join(edges.select(*id_keys).distinct(), id_keys, "left_anti"))
+        leaders = leaders.unionByName(new)
+        sources = new.select(*keys, F.col("_id").alias("_src"))
+        covered = edges.join(sources, [*keys, "_src"], "left_semi").select(*id_keys).distinct()
+        nodes = pin(nodes.join(covered.union(new.select(*id_keys)), id_keys, "left_anti"))
+        open_ids = nodes.select(*id_keys)
+        edges = pin(
+            edges.join(open_ids, id_keys, "left_semi").join(
+                open_ids.withColumnRenamed("_id", "_src"), [*keys, "_src"], "left_semi"
+            )
+        )
+    return pin(leaders.unionByName(nodes))
+
+
 def non_max_suppression(
     df: DataFrame, keys: Sequence[str], score: str = "score", box_id: str = "box_id",
     iou_threshold: float = 0.5, limit: int = GROUP_LIMIT,
@@ -308,8 +355,6 @@ voting_fusion = max_confidence_fusion
 
 # --- matching -------------------------------------------------------------------------
 
-_TARGET = ["x1", "y1", "x2", "y2"]
-
 
 def match_boxes(
     predictions: DataFrame, targets: DataFrame, keys: Sequence[str] = ("image_id", "class_id"),

@@ -23,6 +23,10 @@ from millrace.operators.features import folds
 from millrace.operators.terms import TOKEN
 
 
+# Largest matrix that is sent to every task.
+MAX_SHARED_BYTES = 256 * 1024 * 1024
+
+
 # --- text features ------------------------------------------------------------
 
 
@@ -80,7 +84,8 @@ def truncated_svd(df: DataFrame, features: str, key: str, dimensions: int = 100)
     width = df.select(features).first()[0].size
     rows = df.select(features).rdd.map(lambda r: OldVectors.fromML(r[0]))
     v = RowMatrix(rows).computeSVD(min(dimensions, width - 1)).V.toArray()
-    # V is bounded by features x dimensions; each row becomes a small product.
+    if v.nbytes > MAX_SHARED_BYTES:
+        raise ValueError("too many features to share with every task; lower max_features or dimensions")
     shared = df.sparkSession.sparkContext.broadcast(v)
 
     @F.pandas_udf("array<double>")

@@ -19,6 +19,9 @@ SLICE, TIE, ORDINAL, BLOCK, HOME = "_slice", "_tie", "_ordinal", "_block", "_hom
 # Rows per block when a frame reaches back over earlier rows.
 BLOCK_ROWS = 100_000
 
+# Spark's default bound for limiting window groups ahead of a shuffle.
+GROUP_LIMIT_ROWS = 1_000
+
 Order = str | Column
 
 
@@ -205,14 +208,17 @@ def forward_fill(
     return out.select(*df.columns)
 
 
-def recent_rows(
+def first_rows(
     df: DataFrame, order_by: Sequence[Column], n: int, partition_by: Sequence[str]
 ) -> DataFrame:
     """The first ``n`` rows per key in the given order.
 
-    Spark limits each group before the shuffle when it filters on row_number, so
-    no key sends more than ``n`` rows per map task.
+    Up to ``GROUP_LIMIT_ROWS`` Spark itself limits each group before the shuffle,
+    so no key sends more than ``n`` rows per map task. Above, rows are numbered
+    over slices.
     """
+    if n > GROUP_LIMIT_ROWS:
+        return with_ordinal(df, order_by, partition_by).filter(F.col(ORDINAL) <= n).drop(ORDINAL)
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 

@@ -199,11 +199,19 @@ def _reference(df: DataFrame, r: ReferenceRule) -> DataFrame:
     if not isinstance(ref, DataFrame):
         dtype = df.schema[r.column].dataType
         ref = df.sparkSession.createDataFrame([(v,) for v in ref], T.StructType([T.StructField("v", dtype)]))
-    missing = values_without_reference(df, r.column, ref)
-    values = df.select(r.column).distinct().agg(F.count("*").alias("total")).scalar()
-    n = F.count("*")
+    known_values = ref.select(F.col(ref.columns[0]).alias("_ref"), F.lit(True).alias("_known")).distinct()
+    values = df.select(F.col(r.column).alias("_v")).distinct()
+    matched = values.join(known_values, F.col("_v").eqNullSafe(F.col("_ref")), "left")
+    n, total = F.count_if(F.col("_known").isNull()), F.count("*")
     message = F.concat(F.lit("Found "), n.cast("string"), F.lit(" values without reference"))
-    return missing.agg(_struct(r.name, "referential_check", n == 0, n, F.any_value(values), _pct(n, F.any_value(values)), message).alias("r")).select("r.*")
+    return matched.agg(
+        _struct(r.name, "referential_check", n == 0, n, total, _pct(n, total), message).alias("r")
+    ).select("r.*")
+
+
+def missing_references(df: DataFrame, r: ReferenceRule, n: int = 10) -> DataFrame:
+    """First ``n`` distinct values that the reference set lacks."""
+    return values_without_reference(df, r.column, r.reference).orderBy(r.column).limit(n)
 
 
 # Types that count as compatible.

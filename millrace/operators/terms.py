@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import words
+from millrace.operators.ordered import first_rows
 
 # Fixed value: a token is two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -64,8 +65,7 @@ def vocabulary(
     fit = sized.filter((F.col("df") >= min_df) & (F.col("df") <= F.col("n_docs") * max_df))
     order = [F.desc("total"), F.col("term")]
     if by:
-        w = Window.partitionBy(*by).orderBy(*order)
-        top = fit.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_features).drop("_rn")
+        top = first_rows(fit, order, max_features, by)
     else:
         top = fit.orderBy(*order).limit(max_features)
     idf = F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1

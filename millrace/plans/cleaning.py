@@ -8,7 +8,7 @@ from millrace.functions import scalar
 from millrace.operators import clean, joins
 from millrace.plans.sales import _round
 from millrace.registry import query
-from millrace.tables import FACT_SALES_SQL, events, fact_sales, table
+from millrace.tables import FACT_SALES_SQL, fact_sales, table
 
 _KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _KEYS_SQL = ", ".join(_KEYS)

@@ -52,7 +52,7 @@ def box_convert(spark, sf_dir):
 
 @query("box_resize_clip", "BOX-03 BOX-04", f"""WITH {BOXES_SQL}
 SELECT box_id, x1 * 2 AS rx1, y2 * 0.5 AS ry2, greatest(0.0, least(x2, 400.0)) AS clip_x2, greatest(0.0, least(y1, 300.0)) AS clip_y1,
-  x1 * 0.8 + 0 AS letter_x1, y1 * 0.8 + 80 AS letter_y1,
+  round(x1 * 0.8, 6) AS letter_x1, round(y1 * 0.8 + 80, 6) AS letter_y1,
   round(x2 * ((CASE WHEN class_id % 4 IN (1, 3) THEN 240 ELSE 400 END) / 800) + CASE WHEN class_id % 4 IN (1, 3) THEN 400 ELSE 0 END, 6) AS mosaic_x2
 FROM boxes""")
 def box_resize_clip(spark, sf_dir):
@@ -147,7 +147,7 @@ def _models(spark, sf_dir):
 
 @query("box_fusion", "DET-05", f"""WITH RECURSIVE {BOXES_SQL}, {_MODELS_SQL},
 {_greedy_sql('models', 'model_id, box_id', '>', 0.2)},
-g AS (SELECT m.*, w.leader_id, w.rn FROM models m JOIN walk w USING (image_id, box_id)),
+g AS (SELECT m.*, w.leader_id FROM numbered m JOIN walk w USING (image_id, rn)),
 v AS (SELECT image_id, leader_id, class_id, sum(score) AS votes, min(rn) AS first FROM g GROUP BY ALL),
 best AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY image_id, leader_id ORDER BY round(votes, 9) DESC, first) = 1),
 f AS (SELECT image_id, leader_id AS box_id, count(*) AS members, sum(score) / count(*) AS score,
@@ -165,7 +165,7 @@ def box_fusion(spark, sf_dir):
 
 @query("max_confidence_fusion", "DET-06", f"""WITH RECURSIVE {BOXES_SQL}, {_MODELS_SQL},
 {_greedy_sql('models', 'model_id, box_id', '>', 0.2)},
-g AS (SELECT m.*, w.leader_id FROM models m JOIN walk w USING (image_id, box_id))
+g AS (SELECT m.*, w.leader_id FROM numbered m JOIN walk w USING (image_id, rn))
 SELECT image_id, box_id, class_id, score FROM g
 QUALIFY row_number() OVER (PARTITION BY image_id, leader_id ORDER BY score DESC, model_id, box_id) = 1 AND score >= 0.25""")
 def max_confidence_fusion(spark, sf_dir):

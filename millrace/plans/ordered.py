@@ -71,7 +71,7 @@ SELECT user_id, count(*) AS n, round(avg(value), 4) AS avg_value, max(value) AS
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn <= 10 GROUP BY 1""")
 def recent_n_stats(spark, sf_dir):
-    recent = od.recent_rows(
+    recent = od.first_rows(
         _user_events(spark, sf_dir), [F.desc("ts"), F.desc("event_id")], 10, ["user_id"]
     )
     out = recent.groupBy("user_id").agg(

@@ -47,6 +47,14 @@ def roundtrip_parquet(spark, sf_dir):
     return readers.read(spark, path)
 
 
+@query("roundtrip_yaml", "SRC-05", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def roundtrip_yaml(spark, sf_dir):
+    path = new_path(spark, "yaml")
+    line = F.format_string("- {s_suppkey: %d, s_name: '%s', s_acctbal: %s}", "s_suppkey", "s_name", F.col("s_acctbal").cast("string"))
+    table(spark, sf_dir, "supplier").select(line).write.option("maxRecordsPerFile", 10_000).text(path)
+    return readers.read(spark, path, "yaml", schema="s_suppkey bigint, s_name string, s_acctbal double")
+
+
 @query("roundtrip_partitioned", "SNK-07 SRC-11", """
 SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'""")
 def roundtrip_partitioned(spark, sf_dir):

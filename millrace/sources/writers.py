@@ -91,6 +91,7 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[st
     if not exists(spark, path):
         write_partitioned(updates, path, partition_by)
         return
+    updates = pin(updates)
     touched = updates.select(*partition_by).distinct()
     current = spark.read.parquet(path)
     # Directory names come back as guessed types; use the types of the updates.

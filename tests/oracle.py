@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -15,6 +16,9 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# ORACLE_STRICT=1 compares doubles bit by bit.
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -25,7 +29,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _norm(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.9g}") + 0.0
+        if math.isnan(value):
+            return None
+        return value + 0.0 if STRICT else float(f"{value:.9g}") + 0.0
     if isinstance(value, decimal.Decimal):
         return ("decimal", str(value))
     if isinstance(value, datetime.datetime):

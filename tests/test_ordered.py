@@ -93,10 +93,13 @@ def test_empty_and_single_row(spark):
     assert od.with_ordinal(one, ["id"]).first()[od.ORDINAL] == 1
 
 
-def test_recent_rows_and_chunks(frame):
+def test_first_rows_and_chunks(frame, monkeypatch):
     df, pdf = frame
-    recent = od.recent_rows(df, [F.desc("t"), F.desc("id")], 5, ["k"]).toPandas()
+    recent = od.first_rows(df, [F.desc("t"), F.desc("id")], 5, ["k"]).toPandas()
     want = pdf.groupby("k").tail(5)
     assert set(recent.id) == set(want.id)
+    monkeypatch.setattr(od, "GROUP_LIMIT_ROWS", 2)  # number over slices instead
+    recent = od.first_rows(df, [F.desc("t"), F.desc("id")], 5, ["k"]).toPandas()
+    assert set(recent.id) == set(want.id)
     sizes = [r[1] for r in od.chunk_rows(df, ["id"], 150).groupBy("chunk").count().orderBy("chunk").collect()]
     assert sizes == [150, 150, 100]
