@@ -16,8 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Checkpoint files go when nothing refers to them any more.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -57,6 +55,12 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint that survives executor loss."""
-    work_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows to the shared work folder and read them back.
+
+    Survives the loss of executors. Unlike a checkpointed plan, the table read
+    back has known sizes, prunes columns, and drags no constraints of earlier
+    rounds into the plans of an iterative job.
+    """
+    path = new_path(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
