@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import boxes as bx
 from millrace.operators.ordered import running, with_ordinal
-from millrace.session import pin
+from millrace.session import pin, unpin
 
 # Largest group handled inside one row.
 GROUP_LIMIT = 1_000
@@ -210,7 +210,7 @@ def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> Da
         .select(*keys, "_order", F.col("_order.id").alias("_id"), *_TARGET)
     )
     remaining = pin(with_ordinal(firsts, ["_order"], keys, "_rank"))
-    leaders = remaining.limit(0)
+    leaders = None
     while True:
         n, pairs = _pair_estimate(remaining, cell_keys, iou_threshold)
         if n == 0:
@@ -224,14 +224,17 @@ def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> Da
             ordered = ordered.filter(F.col("iou") > iou_threshold)
         edges = pin(ordered.select(*keys, F.col("l__id").alias("_src"), F.col("r__id").alias("_id")))
         new = _settle(prefix, edges, keys)
-        leaders = leaders.unionByName(new)
+        leaders = new if leaders is None else leaders.unionByName(new)
         lead = _with_cells(new, iou_threshold).select(*cell_keys, F.struct(*_TARGET).alias("_lead"))
         later = remaining.filter(F.col("_rank") > cut)
         covered = _with_cells(later, iou_threshold).join(lead, cell_keys).filter(
             _hits(F.col("_lead"), F.struct(*_TARGET), iou_threshold, inclusive)
         )
+        done = remaining
         remaining = pin(later.join(covered.select(*id_keys).distinct(), id_keys, "left_anti"))
-    leaders = pin(leaders)
+        unpin(done)
+    if leaders is None:  # only boxes without extent
+        return df.select(*columns, F.col(box_id).alias("leader_id"))
     # Leaders of one cell hardly overlap each other, so only a few share a cell.
     lead = _with_cells(leaders, iou_threshold).select(
         *cell_keys, F.col("_order").alias("_lead_order"), F.col("_id").alias("_lead_id"),
@@ -263,12 +266,13 @@ def _settle(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFram
     """Leaders among ``nodes``: a box leads when no open box before it overlaps
     it; what it overlaps is settled. ``edges`` run from earlier to later boxes."""
     id_keys = [*keys, "_id"]
-    leaders = nodes.limit(0)
+    parts = []
     while not edges.isEmpty():
         new = pin(nodes.join(edges.select(*id_keys).distinct(), id_keys, "left_anti"))
-        leaders = leaders.unionByName(new)
+        parts.append(new)
         sources = new.select(*keys, F.col("_id").alias("_src"))
         covered = edges.join(sources, [*keys, "_src"], "left_semi").select(*id_keys).distinct()
+        done = nodes, edges
         nodes = pin(nodes.join(covered.union(new.select(*id_keys)), id_keys, "left_anti"))
         open_ids = nodes.select(*id_keys)
         edges = pin(
@@ -276,7 +280,13 @@ def _settle(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFram
                 open_ids.withColumnRenamed("_id", "_src"), [*keys, "_src"], "left_semi"
             )
         )
-    return pin(leaders.unionByName(nodes))
+        unpin(*done)
+    leaders = nodes
+    for part in parts:
+        leaders = leaders.unionByName(part)
+    leaders = pin(leaders)
+    unpin(edges, *parts)
+    return leaders
 
 
 def non_max_suppression(
@@ -420,7 +430,9 @@ def _match_in_rounds(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
         used = new.groupBy(*tkey).agg(F.count("*").alias("_used"))
         left = open_pairs.join(new.select(*keys, "l_id"), [*keys, "l_id"], "left_anti").join(used, tkey, "left")
         left = left.withColumn("r_places", F.col("r_places") - F.coalesce("_used", F.lit(0))).filter("r_places > 0")
+        done = open_pairs
         open_pairs = pin(left.select(*pairs.columns))
+        unpin(done)
     return hits
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -54,13 +55,45 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Pinned tables of this process that are still there.
+_PINNED: set[str] = set()
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows to the shared work folder and read them back.
 
     Survives the loss of executors. Unlike a checkpointed plan, the table read
     back has known sizes, prunes columns, and drags no constraints of earlier
-    rounds into the plans of an iterative job.
+    rounds into the plans of an iterative job. The tables go when the process
+    ends, or earlier by ``unpin``.
     """
     path = new_path(df.sparkSession, "pinned")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _PINNED.add(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._pinned_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    _PINNED.discard(path)
+
+
+def unpin(*frames: DataFrame) -> None:
+    """Delete pinned tables that no later result reads."""
+    for df in frames:
+        path = getattr(df, "_pinned_path", None)
+        if path in _PINNED:
+            _delete(df.sparkSession, path)
+
+
+@atexit.register
+def _unpin_all() -> None:
+    try:
+        spark = SparkSession.getActiveSession()
+        for path in list(_PINNED) if spark is not None else []:
+            _delete(spark, path)
+    except Exception:  # the session is already gone; the folder's owner cleans up
+        pass
