@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import exact, packing, sharding
+from millrace.llm import exact, langid, licenses, packing, sharding
 from millrace.registry import Query, QueryFn
 from millrace.tables import table
 
@@ -43,3 +44,15 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sharding")
 def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query("op8_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.split_of(F.col("doc_id")) == 2, F.lit(False))
+    return langid.identify(docs, langid.fit(docs)).withColumn("held_out", held_out)
