@@ -21,7 +21,7 @@ SAMPLE_DOCS = 1_500
 SLICE = 1_000_000
 # Lengths at which the rejection threshold changes, and what is added to the worst cross-entropy seen.
 LENGTHS = (0, 10, 30, 100, 300, 1_000)
-MARGIN = 0.35
+MARGIN = 1.0
 UNKNOWN = "und"
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")

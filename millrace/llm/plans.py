@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, langid, licenses, packing, sharding
+from millrace.llm import exact, langid, licenses, packing, pii, sharding
 from millrace.registry import Query, QueryFn
 from millrace.tables import table
 
@@ -56,3 +56,20 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(langid.split_of(F.col("doc_id")) == 2, F.lit(False))
     return langid.identify(docs, langid.fit(docs)).withColumn("held_out", held_out)
+
+
+@query("op3_private_data")
+def private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan_private_data(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *map(count, pii.BASE), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"), F.array_max(F.transform("found", lambda s: s["score"])).alias("score"),
+    )
