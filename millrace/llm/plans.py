@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, langid, licenses, packing, pii, sharding
+from millrace.llm import exact, html, langid, licenses, packing, pii, sharding, simhash
 from millrace.registry import Query, QueryFn
 from millrace.tables import table
 
@@ -73,3 +73,14 @@ def private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *map(count, pii.BASE), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("found")).alias("spans"), F.array_max(F.transform("found", lambda s: s["score"])).alias("score"),
     )
+
+
+@query("op4_html_text")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html.extract_text(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op1_simhash")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.mark_near_duplicates(table(spark, sf_dir, "documents"))
