@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, html, langid, licenses, packing, pii, sharding, simhash
+from millrace.llm import decontaminate, exact, html, langid, licenses, lm, packing, pii, sharding, simhash
 from millrace.registry import Query, QueryFn
 from millrace.tables import table
 
@@ -84,3 +84,41 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_simhash")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.mark_near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_decontamination")
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_lm_scores", r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0b\f\r]+') AS words
+    FROM documents
+), t AS (
+    SELECT doc_id, i, words[i] AS w3, CASE WHEN i > 1 THEN words[i - 1] END AS w2,
+           CASE WHEN i > 2 THEN words[i - 2] END AS w1
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w)
+), counted AS (
+    SELECT *, count(*) OVER (PARTITION BY w3) AS c1, count(*) OVER (PARTITION BY w2, w3) AS c2,
+           count(*) OVER (PARTITION BY w1, w2, w3) AS c3, count(*) OVER () AS n
+    FROM t
+), uni AS (SELECT w3 AS word, count(*) AS c FROM t GROUP BY 1),
+bi AS (SELECT w2 AS a, w3 AS b, count(*) AS c FROM t WHERE w2 IS NOT NULL GROUP BY 1, 2),
+scored AS (
+    SELECT doc_id,
+           CASE WHEN w1 IS NOT NULL AND c3 >= 2 THEN ln(c3 / bi.c)
+                WHEN w2 IS NOT NULL AND c2 >= 2 THEN ln(c2 / uni.c) + CASE WHEN w1 IS NULL THEN 0 ELSE ln(0.4) END
+                ELSE ln(c1 / n) + CASE WHEN w2 IS NULL THEN 0 WHEN w1 IS NULL THEN ln(0.4) ELSE 2 * ln(0.4) END
+           END AS score,
+           (w1 IS NOT NULL AND c3 >= 2)::BIGINT AS good
+    FROM counted LEFT JOIN bi ON bi.a = w1 AND bi.b = w2 LEFT JOIN uni ON uni.word = w2
+)
+SELECT doc_id, coalesce(len(words), 0) AS n_words, coalesce(round(log_score, 4), 0) AS log_score,
+       round(log_score / len(words), 4) AS mean_log, coalesce(n_full, 0)::BIGINT AS n_full
+FROM w LEFT JOIN (SELECT doc_id, sum(score) AS log_score, sum(good) AS n_full FROM scored GROUP BY 1) USING (doc_id)
+""")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score_documents(table(spark, sf_dir, "documents"))
+    return scored.withColumns({"log_score": F.round("log_score", 4), "mean_log": F.round("mean_log", 4)})
