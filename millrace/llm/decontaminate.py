@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from millrace.llm.common import columns
 
 SEED_WORDS = 3
-# Of so many consecutive n-grams of an item the rarest becomes a seed.
+# Every n-gram that makes up no more than this share of the corpus is a seed ...
+RARE_SHARE = 1e-6
+RARE_LEAST = 20
+# ... and of so many consecutive n-grams of an item the one whose words are rarest, however common it is.
 SPREAD = 4
 # Share of the best possible alignment score from which a passage counts as a copy.
 THRESHOLD = 0.6
@@ -71,14 +74,21 @@ class Items:
         hit = self.grams[k] == code
         return k[hit], at[hit]
 
-    def choose_seeds(self, counts: np.ndarray) -> None:
-        """Of every SPREAD consecutive n-grams of an item take the rarest in the corpus."""
+    def choose_seeds(self, grams: np.ndarray, words: np.ndarray, words_in_all: int) -> None:
+        """Take the n-grams that are rare in the corpus, and of every SPREAD consecutive ones the one of rarest words.
+
+        Words decide there, as the n-grams of a passage copied often are common, and those
+        that an edited copy breaks would be preferred.
+        """
+        rare = max(RARE_LEAST, RARE_SHARE * words_in_all)
+        commonness = np.log1p(words)
         postings = defaultdict(list)
-        for i, words in enumerate(self.words):
-            k, at = self.found(words)
-            rarity = counts[k]
+        for i, item in enumerate(self.words):
+            k, at = self.found(item)
+            common = sum(commonness[item[j:len(k) + j]] for j in range(self.size))
             last = max(1, len(k) - SPREAD + 1)
-            chosen = sorted({s + int(np.argmin(rarity[s:s + SPREAD])) for s in range(last)})
+            chosen = {s + int(np.argmin(common[s:s + SPREAD])) for s in range(last)}
+            chosen = sorted(chosen.union(np.flatnonzero(grams[k] <= rare).tolist()))
             for c in chosen:
                 postings[int(k[c])].append((i, int(at[c])))
             # An item with many seeds is not compared for a single one.
@@ -158,28 +168,34 @@ def _parts(items: DataFrame) -> Iterator[Items]:
         yield Items(sorted(((r.item_id, r.text) for r in rows.collect()), key=lambda r: (r[0] is None, r)))
 
 
-def _count_grams(docs: DataFrame, items: Items) -> np.ndarray:
-    """Occurrences in the whole corpus of the items' n-grams; no more rows than the items have."""
+def _counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray, int]:
+    """Occurrences in the whole corpus of the items' n-grams, of their words, and of all words.
+
+    As many rows as the items have n-grams and words.
+    """
+    n, v = len(items.grams), len(items.vocabulary)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(items.grams), dtype=np.int64)
+        total = np.zeros(n + v + 1, dtype=np.int64)
         for batch in batches:
             for text in batch["text"].tolist():
-                k, _ = items.found(items.number(text))
-                np.add.at(total, k, 1)
+                words = items.number(text)
+                np.add.at(total, items.found(words)[0], 1)
+                np.add.at(total, n + np.where(words < 0, v, words), 1)
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"gram": at, "n": total[at]})
+        yield pd.DataFrame({"which": at, "n": total[at]})
 
-    counts = np.zeros(len(items.grams), dtype=np.int64)
-    for row in docs.select("text").mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n")).collect():
-        counts[row[0]] = row[1]
-    return counts
+    total = np.zeros(n + v + 1, dtype=np.int64)
+    counted = docs.select("text").mapInPandas(run, "which long, n long")
+    for row in counted.groupBy("which").agg(F.sum("n")).collect():
+        total[row[0]] = row[1]
+    return total[:n], total[n:-1], int(total[n:].sum())
 
 
 def ready_items(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text: str) -> Iterator[Items]:
     for part in _parts(columns(items, item_id=item_col, text=item_text)):
         if part.names:
-            part.choose_seeds(_count_grams(columns(docs, text=text_col), part))
+            part.choose_seeds(*_counts(columns(docs, text=text_col), part))
             yield part
 
 
@@ -189,9 +205,9 @@ def find_passages(
 ) -> DataFrame:
     """Passages of documents that copy a test item, also with words edited, left out or put in.
 
-    Words are runs of letters, digits and underscores in lower case. Of every four
-    consecutive 3-grams of an item the one rarest in the corpus is a seed, so seven words in
-    a row are never missed, however common they are. Around seeds the text is aligned with
+    Words are runs of letters, digits and underscores in lower case. An item's 3-grams that
+    are rare in the corpus are seeds, and so is the one of rarest words of every four
+    consecutive ones: six words in a row always hold a seed, however common they are. Around seeds the text is aligned with
     the item by Smith-Waterman; the score is its share of a perfect alignment. Items of
     fewer than three words and NULL texts match nothing. Items are handed to the tasks in
     parts of bounded size, so documents are not shuffled. Repeated documents and items with
