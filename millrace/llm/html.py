@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
 
 import pandas as pd
 import xxhash
@@ -177,15 +178,25 @@ def extract_text(
 
 
 def unique_runs(blocks, covered, length: int) -> str:
-    """The blocks without the tokens that repeated runs cover."""
-    tokens = [t for block in blocks for t in block.split()]
+    """The blocks without what repeated runs cover: whole blocks, or at least ``length`` tokens of one.
+
+    A run that ends a few tokens into the next block leaves those where they are.
+    """
+    split = [block.split() for block in blocks]
+    tokens = [t for block in split for t in block]
     if covered is None or not len(covered):
         return " ".join(tokens)
-    gone, keys, until = set(covered), suffixes(tokens, length), 0
-    kept = []
-    for i, token in enumerate(tokens):
+    gone, until, hidden = set(covered), 0, []
+    keys = suffixes(tokens, length)
+    for i in range(len(tokens)):
         if i < len(keys) and keys[i] in gone:
             until = i + length
-        if i >= until:
-            kept.append(token)
+        hidden.append(i < until)
+    kept, at = [], 0
+    for block in split:
+        for is_hidden, run in groupby(range(at, at + len(block)), key=hidden.__getitem__):
+            places = list(run)
+            if not is_hidden or len(places) < min(length, len(block)):
+                kept += tokens[places[0]:places[-1] + 1]
+        at += len(block)
     return " ".join(kept)
