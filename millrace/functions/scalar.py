@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Col = str | Column
 
@@ -112,10 +113,16 @@ def safe_json(value: Col, schema: str, default: Column | None = None) -> Column:
     return parsed if default is None else F.coalesce(parsed, default)
 
 
-def ensure_list(value: Col) -> Column:
-    """Wrap a scalar in an array; NULL gives an empty one."""
+def ensure_list(value: Col, dtype: T.DataType | str) -> Column:
+    """A list stays as it is, a scalar is wrapped, NULL gives an empty list.
+
+    ``dtype`` is the type of the value, as a plan's columns must have a type of their own.
+    """
     v = _c(value)
-    return F.when(v.isNull(), F.array().cast("array<string>")).otherwise(F.array(v.cast("string")))
+    kind = T._parse_datatype_string(dtype) if isinstance(dtype, str) else dtype
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(v, F.array().cast(kind))
+    return F.when(v.isNotNull(), F.array(v)).otherwise(F.array().cast(T.ArrayType(kind)))
 
 
 def content_hash(value: Col, algorithm: str = "md5") -> Column:
@@ -127,7 +134,7 @@ def content_hash(value: Col, algorithm: str = "md5") -> Column:
         "sha512": lambda v: F.sha2(v, 512),
     }
     if algorithm not in digests:
-        raise ValueError(f"Unsupported algorithm: {algorithm}")
+        raise ValueError(f"no digest named {algorithm}; known are {sorted(digests)}")
     return digests[algorithm](_c(value).cast("binary"))
 
 

@@ -114,7 +114,8 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], factor: float = 1.5, seque
 def iqr_clip(df: DataFrame, columns: Sequence[str], factor: float = 1.5, flag: bool = False) -> DataFrame:
     """Pull values to the nearer fence; ``flag`` adds ``<col>_outlier`` instead."""
     fences = profile.fence_values(profile.iqr_fences(df, columns, factor))
-    out = {}
+    # A column without values has no fences, and no value outside of them.
+    out = {f"{c}_outlier": F.lit(None).cast("boolean") for c in columns if flag and c not in fences}
     for c, (lo, hi) in fences.items():
         if flag:
             out[f"{c}_outlier"] = (F.col(c) < lo) | (F.col(c) > hi)
@@ -143,33 +144,88 @@ def every_nth(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.filter(F.col(column) % n == 0)
 
 
-def flatten(df: DataFrame, sep: str = "_", max_items: int = 10) -> DataFrame:
-    """Nested records to flat columns ``a_b``; list items to ``a_0`` .. ``a_<max-1>``.
+def _list_sizes(value: Column, dtype: T.DataType, path: tuple):
+    """For every list in a nested value, by path, an array of the sizes it has in a row."""
+    if isinstance(dtype, T.StructType):
+        for f in dtype.fields:
+            yield from _list_sizes(value.getField(f.name), f.dataType, (*path, f.name))
+    elif isinstance(dtype, T.ArrayType):
+        yield path, F.array(F.size(value))
+        inner = (*path, "*")
 
-    Columns are part of a plan, so the items per list must be bounded here.
-    A longer list raises at run time instead of losing items.
+        def sizes_at(below: tuple) -> Column:
+            return F.flatten(F.transform(value, lambda x: dict(_list_sizes(x, dtype.elementType, inner))[below]))
+
+        for below, _ in _list_sizes(F.lit(None), dtype.elementType, inner):
+            yield below, sizes_at(below)
+
+
+def _list_widths(df: DataFrame) -> dict[tuple, int]:
+    """Longest list of every path, from one pass over the lists alone."""
+    sizes = [x for f in df.schema.fields for x in _list_sizes(F.col(f"`{f.name}`"), f.dataType, (f.name,))]
+    if not sizes:
+        return {}
+    row = df.agg(*[F.max(F.array_max(c)).alias(f"w{i}") for i, (_, c) in enumerate(sizes)]).first()
+    return {path: max(0, row[i] or 0) for i, (path, _) in enumerate(sizes)}
+
+
+def flatten(df: DataFrame, sep: str = "_", max_items: int | None = None) -> DataFrame:
+    """Nested records to flat columns ``a_b``; list items to ``a_0``, ``a_1`` ...
+
+    Columns are part of a plan: without ``max_items`` a pass over the lists finds how many
+    items they have. With it, a row that holds more fails whichever columns are read.
+    For lists without a sensible bound use ``flatten_long``.
     """
+    widths = None if max_items is not None else _list_widths(df)
 
-    def walk(value: Column, dtype: T.DataType, name: str):
+    def walk(value: Column, dtype: T.DataType, name: str, path: tuple):
         if isinstance(dtype, T.StructType):
             for f in dtype.fields:
-                yield from walk(value.getField(f.name), f.dataType, f"{name}{sep}{f.name}" if name else f.name)
+                inner = f"{name}{sep}{f.name}" if name else f.name
+                yield from walk(value.getField(f.name), f.dataType, inner, (*path, f.name))
         elif isinstance(dtype, T.ArrayType):
-            fits = F.when(F.size(value) > max_items, F.raise_error(F.lit(f"{name}: more than {max_items} items")))
-            for i in range(max_items):
-                item = F.get(value, i)
-                if i == 0:
-                    item = F.coalesce(fits.cast(dtype.elementType), item)
-                yield from walk(item, dtype.elementType, f"{name}{sep}{i}")
+            for i in range(max_items if widths is None else widths[path]):
+                yield from walk(F.get(value, i), dtype.elementType, f"{name}{sep}{i}", (*path, "*"))
         else:
             yield value.alias(name)
 
-    cols = [c for f in df.schema.fields for c in walk(F.col(f"`{f.name}`"), f.dataType, f.name)]
+    if widths is None:
+        sizes = [x for f in df.schema.fields for x in _list_sizes(F.col(f"`{f.name}`"), f.dataType, (f.name,))]
+        for path, c in sizes:
+            name = sep.join(p for p in path if p != "*")
+            error = F.raise_error(F.lit(f"{name}: more than {max_items} items")).cast("boolean")
+            df = df.where(F.when(F.array_max(c) > max_items, error).otherwise(True))
+    cols = [c for f in df.schema.fields for c in walk(F.col(f"`{f.name}`"), f.dataType, f.name, (f.name,))]
     return df.select(*cols)
 
 
+def flatten_long(df: DataFrame, keys: Sequence[str], sep: str = "_") -> DataFrame:
+    """One row per leaf of a nested record: the keys, its ``path`` (``a_0_b``) and its ``value`` as text.
+
+    Lists may have any length. Absent records and empty lists give no rows, NULL leaves do.
+    """
+    leaf = "array<struct<path: string, value: string>>"
+
+    def walk(value: Column, dtype: T.DataType, path: Column) -> Column:
+        if isinstance(dtype, T.StructType):
+            parts = [walk(value.getField(f.name), f.dataType, F.concat(path, F.lit(f"{sep}{f.name}"))) for f in dtype.fields]
+            return F.when(value.isNotNull(), F.concat(*parts)).otherwise(F.array().cast(leaf))
+        if isinstance(dtype, T.ArrayType):
+            items = F.transform(value, lambda x, i: walk(x, dtype.elementType, F.concat(path, F.lit(sep), i.cast("string"))))
+            return F.coalesce(F.flatten(items), F.array().cast(leaf))
+        return F.array(F.struct(path.alias("path"), value.cast("string").alias("value")))
+
+    fields = [f for f in df.schema.fields if f.name not in keys]
+    leaves = F.concat(*[walk(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)) for f in fields])
+    return df.select(*keys, F.inline(leaves))
+
+
 def deep_merge(base: DataFrame, override: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Override fields of nested records where the other side has a value."""
+    """Override fields of nested records where the other side has a value.
+
+    Records of either side alone stay; NULL keys meet each other; a record that is NULL on
+    both sides stays NULL.
+    """
 
     def merge(old: Column, new: Column, old_type: T.DataType, new_type: T.DataType) -> Column:
         if isinstance(old_type, T.StructType) and isinstance(new_type, T.StructType):
@@ -182,12 +238,13 @@ def deep_merge(base: DataFrame, override: DataFrame, keys: Sequence[str]) -> Dat
                     value = old.getField(f.name)
                 parts.append(value.alias(f.name))
             parts += [new.getField(n).alias(n) for n in new_fields if n not in old_type.fieldNames()]
-            return F.struct(*parts)
+            return F.when(old.isNotNull() | new.isNotNull(), F.struct(*parts))
         return F.coalesce(new, old)
 
-    right = override.select(*[F.col(c).alias(c if c in keys else f"_new_{c}") for c in override.columns])
-    joined = base.join(right, list(keys), "left")
-    out = [F.col(k) for k in keys]
+    right = override.select(*[F.col(c).alias(f"_new_{c}") for c in override.columns])
+    same = [base[k].eqNullSafe(right[f"_new_{k}"]) for k in keys]
+    joined = base.join(right, same, "full")
+    out = [F.coalesce(F.col(k), F.col(f"_new_{k}")).alias(k) for k in keys]
     for f in base.schema.fields:
         if f.name in keys:
             continue

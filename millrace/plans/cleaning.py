@@ -175,15 +175,35 @@ def flatten_json(spark, sf_dir):
         ).alias("detail"),
         F.array(F.col("user_id").cast("double"), F.col("value")).alias("tags"),
     )
-    return clean.flatten(nested, max_items=2)
+    return clean.flatten(nested)
+
+
+@query("flatten_lists", "PRJ-21", """
+WITH o AS (SELECT l_orderkey, list(struct_pack(part := l_partkey, n := l_linenumber)
+  ORDER BY l_linenumber, l_partkey, l_suppkey) AS lines FROM lineitem GROUP BY 1),
+i AS (SELECT l_orderkey, unnest(range(len(lines))) AS i, unnest(lines) AS line FROM o)
+SELECT l_orderkey, 'lines_' || i || '_part' AS path, CAST(line.part AS VARCHAR) AS value FROM i
+UNION ALL SELECT l_orderkey, 'lines_' || i || '_n', CAST(line.n AS VARCHAR) FROM i
+UNION ALL SELECT l_orderkey, 'count', CAST(len(lines) AS VARCHAR) FROM o""")
+def flatten_lists(spark, sf_dir):
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("all"))
+    nested = orders.select(
+        "l_orderkey", F.size("all").alias("count"),
+        F.transform("all", lambda x: F.struct(x["l_partkey"].alias("part"), x["l_linenumber"].alias("n"))).alias("lines"),
+    )
+    return clean.flatten_long(nested, ["l_orderkey"])
 
 
 @query("deep_merge", "PRJ-22", """
-SELECT c_custkey, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 0.0 ELSE c_acctbal END AS balance,
-  CASE WHEN c_custkey % 3 = 0 THEN 'NEW' ELSE c_mktsegment END AS segment FROM customer""")
+SELECT c_custkey, CASE WHEN c_custkey % 7 > 0 THEN c_name END AS name,
+  CASE WHEN c_custkey % 3 = 0 THEN 0.0 ELSE c_acctbal END AS balance,
+  CASE WHEN c_custkey % 3 = 0 THEN 'NEW' ELSE c_mktsegment END AS segment
+FROM customer WHERE c_custkey % 7 > 0 OR c_custkey % 3 = 0""")
 def deep_merge(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    base = c.select("c_custkey", F.struct(
+    # Some customers are only on the other side.
+    base = c.filter(F.col("c_custkey") % 7 > 0).select("c_custkey", F.struct(
         F.col("c_name").alias("name"),
         F.struct(F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment")).alias("account"),
     ).alias("info"))

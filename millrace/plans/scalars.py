@@ -88,7 +88,7 @@ def safe_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
         "event_id",
         scalar.safe_json(broken, "struct<k:bigint>", default)["k"].alias("k"),
-        F.size(scalar.ensure_list(kind)).alias("n"),
+        F.size(scalar.ensure_list(kind, "string")).alias("n"),
     )
 
 
