@@ -106,22 +106,28 @@ def table_info(spark, sf_dir):
 
 @query("summary_upsert", "AGG-04 SNK-12", f"""WITH {FACT_SALES_SQL}
 SELECT CAST(transaction_date AS VARCHAR) AS date, region, count(*) AS transaction_count, sum(quantity) AS total_quantity,
-  round(sum(total_amount), 2) AS total_revenue
-FROM fact_sales GROUP BY 1, 2""")
+  round(sum(total_amount), 2) AS total_revenue,
+  CASE WHEN day(transaction_date) <> 13 THEN strftime(transaction_date, '%Y-%m') END AS month
+FROM fact_sales GROUP BY 1, 2, transaction_date""")
 def summary_upsert(spark, sf_dir):
     path = new_path(spark, "summary")
     sales = fact_sales(spark, sf_dir)
+    # One day of each month is in the partition of NULL.
+    month = F.when(F.dayofmonth("date") != 13, F.date_format("date", "yyyy-MM"))
     rows = sales.groupBy(F.col("transaction_date").alias("date"), "region").agg(
         F.count("*").alias("transaction_count"), F.sum("quantity").alias("total_quantity"),
         F.round(F.sum("total_amount"), 2).alias("total_revenue"),
-    ).withColumn("month", F.date_format("date", "yyyy-MM"))
-    # A first load with stale numbers from 2001 on, then the corrected days.
+    ).withColumn("month", month)
+    # A first load with wrong numbers, and some of them in a partition of their own, from 2001 on; then the corrected days.
     stale = F.col("date") >= "2001-01-01"
-    first = rows.withColumn("total_revenue", F.when(stale, F.lit(0.0)).otherwise(F.col("total_revenue")))
+    first = rows.withColumns({
+        "total_revenue": F.when(stale, F.lit(0.0)).otherwise(F.col("total_revenue")),
+        "month": F.when(stale & (F.dayofmonth("date") == 5), F.lit("unsorted")).otherwise(F.col("month")),
+    })
     writers.upsert(spark, path, first.filter(F.col("date") < "2001-07-15"), ["date", "region"], ["month"])
     writers.upsert(spark, path, rows.filter(stale), ["date", "region"], ["month"])
-    out = spark.read.parquet(path)
-    return out.withColumn("date", F.col("date").cast("string")).drop("month")
+    schema = "date date, region string, transaction_count bigint, total_quantity double, total_revenue double, month string"
+    return spark.read.schema(schema).parquet(path).withColumn("date", F.col("date").cast("string"))
 
 
 @query("yesterday_summary", "AGG-04", f"""WITH {FACT_SALES_SQL}
@@ -135,14 +141,17 @@ def yesterday_summary(spark, sf_dir):
 
 
 @query("retention", "SNK-14", """
-SELECT year(o_orderdate) AS order_year, count(*) AS n FROM orders WHERE year(o_orderdate) >= 1999 GROUP BY 1""")
+SELECT * FROM (SELECT CASE WHEN o_orderkey % 50 > 0 THEN o_orderkey // 1000 END AS part, count(*) AS n FROM orders GROUP BY 1)
+WHERE part >= 5 OR part IS NULL""")
 def retention(spark, sf_dir):
     path = new_path(spark, "retention")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").cast("long").alias("order_year"))
-    writers.write_partitioned(rows, path, ["order_year"])
-    writers.drop_old_partitions(spark, path, "order_year", 1999)
-    kept = spark.read.schema("o_orderkey bigint, order_year bigint").parquet(path)
-    return kept.groupBy("order_year").agg(F.count("*").alias("n"))
+    # Numbers without padding, and a partition of NULL.
+    part = F.when(F.col("o_orderkey") % 50 > 0, F.floor(F.col("o_orderkey") / 1000))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", part.alias("part"))
+    writers.write_partitioned(rows, path, ["part"])
+    writers.drop_old_partitions(spark, path, "part", 5)
+    kept = spark.read.schema("o_orderkey bigint, part bigint").parquet(path)
+    return kept.groupBy("part").agg(F.count("*").alias("n"))
 
 
 @query("topic_records", "SNK-13 SRC-14", "SELECT CAST(user_id AS VARCHAR) AS key, event_id, event_type, value FROM events")

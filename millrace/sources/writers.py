@@ -5,12 +5,15 @@ Paths may use any Hadoop file system (local, s3a, abfss, gs).
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import pin
+from millrace.operators.ordered import join_on
+from millrace.session import pin, unpin
 from millrace.sources.readers import exists
 from millrace.sources.tables import Database
 
@@ -85,34 +88,67 @@ def stamp(df: DataFrame, batch_id: str) -> DataFrame:
 def upsert(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> None:
     """Insert rows or replace those with the same key, in a partitioned table.
 
-    Only partitions that receive rows are read and rewritten. The merged rows
-    are checkpointed before the partitions they come from are replaced.
+    Only partitions that receive rows, or lose rows whose key moves elsewhere, are
+    rewritten; to find the latter, keys alone are read. NULL is a key and a partition like
+    any other. The merged rows are written aside before the partitions they come from are
+    replaced. Updates that repeat a key are refused.
     """
+    updates = pin(updates)
+    repeated = updates.groupBy(*keys).count().where("count > 1").select(*keys).first()
+    if repeated is not None:
+        unpin(updates)
+        raise ValueError(f"updates hold a key more than once: {tuple(repeated)}")
     if not exists(spark, path):
         write_partitioned(updates, path, partition_by)
+        unpin(updates)
         return
-    updates = pin(updates)
-    touched = updates.select(*partition_by).distinct()
+    place = list(partition_by)
     current = spark.read.parquet(path)
     # Directory names come back as guessed types; use the types of the updates.
-    current = current.select(*[F.col(f.name).cast(f.dataType) for f in updates.schema.fields])
-    kept = current.join(touched, list(partition_by), "left_semi").join(updates.select(*keys), list(keys), "left_anti")
-    merged = pin(kept.unionByName(updates))
+    types = {f.name: f.dataType for f in updates.schema.fields}
+    current = current.select(*[F.col(c).cast(t) for c, t in types.items()], F.input_file_name().alias("_file"))
+    new_keys = updates.select(*keys)
+    moved = join_on(current.select(*dict.fromkeys([*keys, *place])), new_keys, keys, "left_semi").select(*place)
+    touched = moved.unionByName(updates.select(*place)).distinct()
+    old = join_on(current, touched, place, "left_semi")
+    merged = pin(join_on(old, new_keys, keys, "left_anti").drop("_file").unionByName(updates))
+    # Dynamic overwrite leaves a partition alone that gets no rows; its directory has to go.
+    emptied = join_on(old, merged.select(*place).distinct(), place, "left_anti")
+    folders = [r[0] for r in emptied.select(F.regexp_replace("_file", "/[^/]*$", "")).distinct().collect()]
     write_partitioned(merged, path, partition_by, partitionOverwriteMode="dynamic")
+    for folder in folders:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    unpin(updates, merged)
+
+
+def _as_type_of(value: str, example: object) -> object:
+    """A directory's value in the type of ``example``."""
+    if isinstance(example, datetime.datetime):
+        return datetime.datetime.fromisoformat(value)
+    if isinstance(example, datetime.date):
+        return datetime.date.fromisoformat(value)
+    return type(example)(value)
 
 
 def drop_old_partitions(spark: SparkSession, path: str, column: str, before: object) -> list[str]:
-    """Remove partition directories with a value below ``before``; returns them."""
+    """Remove partition directories with a value below ``before``; returns the values as text.
+
+    Values are compared in the type of ``before``; the partition of NULL stays.
+    """
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
     for status in fs.listStatus(jvm_path):
         name = status.getPath().getName()
         key, _, value = name.partition("=")
-        if key == column and value < str(before):
+        value = unquote(value)
+        if key != column or value == "__HIVE_DEFAULT_PARTITION__":
+            continue
+        if _as_type_of(value, before) < before:
             fs.delete(status.getPath(), True)
             dropped.append(value)
-    return sorted(dropped)
+    return sorted(dropped, key=lambda v: _as_type_of(v, before))
 
 
 def refresh_table(df: DataFrame, name: str, path: str | None = None) -> None:
