@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import scalar
 from millrace.operators.joins import values_without_reference
+from millrace.operators.ordered import join_on
 from millrace.operators.profile import known, numeric_columns
 
 log = logging.getLogger(__name__)
@@ -86,11 +87,12 @@ class PredicateRule:
 
 @dataclass(frozen=True)
 class CustomRule:
-    """Caller's function of the table: a Column of violations, or a bool, or a
-    DataFrame of violating rows. An error fails the rule."""
+    """Caller's function of the table. It may return a Column of violations, a DataFrame of
+    violating rows, a bool, or a dict with ``passed`` and any of ``violations``, ``total``
+    and ``message``. An error, then or while rows are read, fails this rule alone."""
 
     name: str
-    function: Callable[[DataFrame], Column | bool | DataFrame]
+    function: Callable[[DataFrame], Column | bool | dict | DataFrame]
 
 
 @dataclass(frozen=True)
@@ -144,6 +146,7 @@ class _Fused:
         self.numeric = set(numeric_columns(df))
         self.aggs: list[Column] = [F.count("*").alias("_total")]
         self.results: list[Column] = []
+        self.callers: list[tuple[int, str, str]] = []  # expressions of the caller's: aggregate, rule name, type
 
     def count(self, violates: Column) -> Column:
         name = f"_v{len(self.aggs)}"
@@ -158,52 +161,97 @@ class _Fused:
         wanted = r.columns or self.df.columns
         counts = {c: self.count(self._missing(c)) for c in wanted if c in self.df.columns}
         failed = F.filter(
-            F.array(*[F.when(_pct(n, total) > r.threshold, F.lit(c)) for c, n in counts.items()]),
+            F.array(*[F.when(_pct(n, total) > r.threshold, F.lit(c)) for c, n in counts.items()]).cast("array<string>"),
             lambda c: c.isNotNull(),
         )
-        violations = sum(list(counts.values())[1:], next(iter(counts.values())))
-        worst = [_pct(n, total) for n in counts.values()]
-        message = F.when(F.size(failed) == 0, F.lit("No null violations")).otherwise(
-            F.concat(F.lit("Found nulls in columns: "), F.array_join(failed, ", "))
+        violations = sum(counts.values(), F.lit(0))
+        worst = [_pct(n, total) for n in counts.values()] or [F.lit(0.0)]
+        message = F.when(F.size(failed) == 0, F.lit("no column lacks too many values")).otherwise(
+            F.concat(F.lit("too many values missing in: "), F.array_join(failed, ", "))
         )
         pct = F.greatest(*worst) if len(worst) > 1 else worst[0]
         self.results.append(_struct(r.name, "null_check", F.size(failed) == 0, violations, total, pct, message))
 
-    def add_count(self, name: str, kind: str, violates: Column, what: str, allowed: int = 0) -> None:
+    def add_count(
+        self, name: str, kind: str, violates: Column, what: str, allowed: int = 0, of_caller: bool = False
+    ) -> None:
+        if of_caller:
+            self.callers.append((len(self.aggs), name, kind))
         n, total = self.count(violates), F.col("_total")
-        message = F.concat(F.lit("Found "), n.cast("string"), F.lit(f" {what}"))
+        message = F.concat(n.cast("string"), F.lit(f" {what}"))
         self.results.append(_struct(name, kind, n <= allowed, n, total, _pct(n, total), message))
 
     def frame(self) -> DataFrame:
-        return self.df.agg(*self.aggs).select(F.explode(F.array(*self.results)).alias("r")).select("r.*")
+        """All results from one pass.
+
+        A caller's expression can fail on some row, which only shows when rows are read. With
+        such rules the pass runs now; if it fails, their expressions are tried one by one
+        and those that fail give failed results.
+        """
+        counted, broken = self.df.agg(*self.aggs), {}
+        if self.callers:
+            try:
+                row = counted.first()
+            except Exception:
+                for at, _, _ in self.callers:
+                    try:
+                        self.df.agg(self.aggs[at]).first()
+                    except Exception as err:
+                        broken[at] = str(err).split("\n")[0]
+                        self.aggs[at] = F.lit(None).cast("long").alias(f"_v{at}")
+                counted = self.df.agg(*self.aggs)
+                row = counted.first()
+            counted = self.df.sparkSession.createDataFrame([row], counted.schema)
+        results = counted.select(F.explode(F.array(*self.results)).alias("r")).select("r.*")
+        if not broken:
+            return results
+        names = {name: broken[at] for at, name, _ in self.callers if at in broken}
+        failed = [(name, kind, False, 0, 0, 0.0, _failed_with(broken[at])) for at, name, kind in self.callers if at in broken]
+        kept = results.filter(~F.col("rule_name").isin(list(names)))
+        return kept.union(_constant(self.df.sparkSession, failed))
+
+
+def _failed_with(err: object) -> str:
+    return f"the check could not be run: {err}"
 
 
 def _constant(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, RESULT)
 
 
-def _duplicates(df: DataFrame, r: DuplicateRule) -> DataFrame:
-    groups = df.groupBy(*(r.columns or df.columns)).agg(F.count("*").alias("_n"))
-    counted = F.sum(F.when(F.col("_n") > 1, F.col("_n") if r.count == "rows" else F.lit(1)))
-    totals = groups.agg(F.coalesce(counted, F.lit(0)).alias("n"), F.coalesce(F.sum("_n"), F.lit(0)).alias("total"))
-    what = "duplicate records" if r.count == "rows" else "duplicate keys"
-    message = F.concat(F.lit("Found "), F.col("n").cast("string"), F.lit(f" {what}"))
-    return totals.select(
-        _struct(r.name, "duplicate_check", F.col("n") <= r.max_duplicates, F.col("n"), F.col("total"),
-                _pct(F.col("n"), F.col("total")), message).alias("r")
-    ).select("r.*")
+def _duplicates(df: DataFrame, rules: Sequence[DuplicateRule]) -> DataFrame:
+    """Results of all rules on the same key, from one group-by."""
+    groups = df.groupBy(*(rules[0].columns or df.columns)).agg(F.count("*").alias("_n"))
+    again = F.col("_n") > 1
+    totals = groups.agg(
+        F.coalesce(F.sum(F.when(again, F.col("_n"))), F.lit(0)).alias("rows"),
+        F.count_if(again).alias("keys"), F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
+    )
+    results = []
+    for r in rules:
+        n = F.col(r.count)
+        what = "rows share their key" if r.count == "rows" else "keys occur more than once"
+        message = F.concat(n.cast("string"), F.lit(f" {what}"))
+        pct = _pct(n, F.col("total"))
+        results.append(_struct(r.name, "duplicate_check", n <= r.max_duplicates, n, F.col("total"), pct, message))
+    return totals.select(F.explode(F.array(*results)).alias("r")).select("r.*")
+
+
+def _reference_frame(df: DataFrame, r: ReferenceRule) -> DataFrame:
+    """The reference values as a one-column table."""
+    if isinstance(r.reference, DataFrame):
+        return r.reference
+    field = T.StructField("v", df.schema[r.column].dataType)
+    return df.sparkSession.createDataFrame([(v,) for v in r.reference], T.StructType([field]))
 
 
 def _reference(df: DataFrame, r: ReferenceRule) -> DataFrame:
-    ref = r.reference
-    if not isinstance(ref, DataFrame):
-        dtype = df.schema[r.column].dataType
-        ref = df.sparkSession.createDataFrame([(v,) for v in ref], T.StructType([T.StructField("v", dtype)]))
+    ref = _reference_frame(df, r)
     known_values = ref.select(F.col(ref.columns[0]).alias("_ref"), F.lit(True).alias("_known")).distinct()
     values = df.select(F.col(r.column).alias("_v")).distinct()
     matched = values.join(known_values, F.col("_v").eqNullSafe(F.col("_ref")), "left")
     n, total = F.count_if(F.col("_known").isNull()), F.count("*")
-    message = F.concat(F.lit("Found "), n.cast("string"), F.lit(" values without reference"))
+    message = F.concat(n.cast("string"), F.lit(" distinct values are not in the reference set"))
     return matched.agg(
         _struct(r.name, "referential_check", n == 0, n, total, _pct(n, total), message).alias("r")
     ).select("r.*")
@@ -211,7 +259,7 @@ def _reference(df: DataFrame, r: ReferenceRule) -> DataFrame:
 
 def missing_references(df: DataFrame, r: ReferenceRule, n: int = 10) -> DataFrame:
     """First ``n`` distinct values that the reference set lacks."""
-    return values_without_reference(df, r.column, r.reference).orderBy(r.column).limit(n)
+    return values_without_reference(df, r.column, _reference_frame(df, r)).orderBy(r.column).limit(n)
 
 
 # Types that count as compatible.
@@ -245,11 +293,12 @@ def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Result row per rule, in one lazy DataFrame."""
     spark = df.sparkSession
     fused, frames, fixed = _Fused(df), [], []
+    same_key: dict[tuple, list[DuplicateRule]] = {}
     for r in rules:
         column = getattr(r, "column", None)
         if column is not None and column not in df.columns:
             kind = {RangeRule: "range_check", PatternRule: "pattern_check"}.get(type(r), "referential_check")
-            fixed.append((r.name, kind, False, 0, 0, 0.0, f"Column {column} not found"))
+            fixed.append((r.name, kind, False, 0, 0, 0.0, f"there is no column {column}"))
         elif isinstance(r, NullRule):
             fused.add_null(r)
         elif isinstance(r, RangeRule):
@@ -258,23 +307,24 @@ def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 bad = bad | (c < r.min_value)
             if r.max_value is not None:
                 bad = bad | (c > r.max_value)
-            fused.add_count(r.name, "range_check", bad, f"values outside range [{r.min_value}, {r.max_value}]")
+            fused.add_count(r.name, "range_check", bad, f"values outside [{r.min_value}, {r.max_value}]")
         elif isinstance(r, PatternRule):
             fused.add_count(r.name, "pattern_check", ~scalar.matches_prefix(r.column, r.pattern),
-                            "values not matching pattern")
+                            "values do not match the pattern")
         elif isinstance(r, PredicateRule):
-            fused.add_count(r.name, r.rule_type, r.violates, "violations", r.max_violations)
+            fused.add_count(r.name, r.rule_type, r.violates, "rows break the rule", r.max_violations, of_caller=True)
         elif isinstance(r, DuplicateRule):
-            frames.append(_duplicates(df, r))
+            same_key.setdefault(tuple(r.columns or df.columns), []).append(r)
         elif isinstance(r, ReferenceRule):
             frames.append(_reference(df, r))
         elif isinstance(r, SchemaRule):
             problems = schema_problems(df, r.expected)
             n = len(problems["missing_columns"]) + len(problems["type_mismatches"])
-            word = "passed" if n == 0 else "failed"
-            fixed.append((r.name, "schema_check", n == 0, n, len(r.expected), 0.0, f"Schema validation {word}"))
+            word = "is as expected" if n == 0 else "differs"
+            fixed.append((r.name, "schema_check", n == 0, n, len(r.expected), 0.0, f"the schema {word}"))
         else:
             _custom(df, r, fused, frames, fixed)
+    frames += [_duplicates(df, group) for group in same_key.values()]
     if fused.results:
         frames.insert(0, fused.frame())
     if fixed:
@@ -288,35 +338,41 @@ def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _custom(df: DataFrame, r: CustomRule, fused: _Fused, frames: list, fixed: list) -> None:
+    def result(passed: bool, violations: int, total: int, message: str) -> None:
+        pct = violations / total * 100 if total else 0.0
+        fixed.append((r.name, "custom_check", passed, violations, total, pct, message))
+
     try:
         outcome = r.function(df)
         if isinstance(outcome, Column):
-            df.select(outcome)  # fails here, not in the shared pass
+            df.select(outcome)  # what cannot be resolved fails here, not in the shared pass
+        elif isinstance(outcome, DataFrame):
+            outcome = outcome.count()
     except Exception as err:
-        fixed.append((r.name, "custom_check", False, 0, 0, 0.0, f"Custom validation error: {err}"))
+        result(False, 0, 0, _failed_with(str(err).split("\n")[0]))
         return
     if isinstance(outcome, bool):
-        word = "passed" if outcome else "failed"
-        fixed.append((r.name, "custom_check", outcome, 0 if outcome else 1, 0, 0.0, f"Custom validation {word}"))
+        result(outcome, int(not outcome), 0, "the check holds" if outcome else "the check does not hold")
+    elif isinstance(outcome, int):
+        result(outcome == 0, outcome, outcome, f"{outcome} rows break the rule")
     elif isinstance(outcome, Column):
-        fused.add_count(r.name, "custom_check", outcome, "violations")
-    elif isinstance(outcome, DataFrame):
-        n = F.count("*")
-        message = F.concat(F.lit("Found "), n.cast("string"), F.lit(" violations"))
-        frames.append(
-            outcome.agg(_struct(r.name, "custom_check", n == 0, n, n, F.lit(0.0), message).alias("r")).select("r.*")
-        )
+        fused.add_count(r.name, "custom_check", outcome, "rows break the rule", of_caller=True)
+    elif isinstance(outcome, dict):
+        passed = bool(outcome.get("passed", False))
+        message = outcome.get("message", "the check holds" if passed else "the check does not hold")
+        result(passed, int(outcome.get("violations", not passed)), int(outcome.get("total", 0)), str(message))
     else:
-        fixed.append((r.name, "custom_check", False, 0, 0, 0.0, "Invalid custom function return type"))
+        result(False, 0, 0, f"a check cannot return {type(outcome).__name__}")
 
 
 # --- samples and details of one rule ----------------------------------------
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
-    """First ``n`` rows that share their key with another row."""
+    """First ``n`` rows that share their key, NULL included, with another row; ties by the other columns."""
     repeated = df.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    return df.join(repeated, list(columns), "left_semi").orderBy(*columns).limit(n)
+    others = [c for c, kind in df.dtypes if c not in columns and not kind.startswith(("map", "variant"))]
+    return join_on(df, repeated, list(columns), "left_semi").orderBy(*columns, *others).limit(n)
 
 
 def range_details(df: DataFrame, r: RangeRule) -> DataFrame:

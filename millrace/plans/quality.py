@@ -46,7 +46,7 @@ def _result(name, kind, passed, violations, total, pct, message):
 
 def _counted(name, kind, violation, source, what, allowed=0):
     return (
-        _result(name, kind, f"v <= {allowed}", "v", "t", "v * 100.0 / t", f"'Found ' || v || ' {what}'")
+        _result(name, kind, f"v <= {allowed}", "v", "t", "v * 100.0 / t", f"v || ' {what}'")
         + f" FROM (SELECT count(*) FILTER (WHERE {violation}) AS v, count(*) AS t FROM {source})"
     )
 
@@ -55,8 +55,8 @@ _NULLS_SQL = (
     _result(
         "critical", "null_check", "a * 100.0 / t <= 1 AND b * 100.0 / t <= 1 AND c * 100.0 / t <= 1", "a + b + c", "t",
         "greatest(a, b, c) * 100.0 / t",
-        "CASE WHEN a * 100.0 / t <= 1 AND b * 100.0 / t <= 1 THEN 'No null violations' ELSE "
-        "'Found nulls in columns: ' || concat_ws(', ', CASE WHEN a * 100.0 / t > 1 THEN 'product_id' END, "
+        "CASE WHEN a * 100.0 / t <= 1 AND b * 100.0 / t <= 1 THEN 'no column lacks too many values' ELSE "
+        "'too many values missing in: ' || concat_ws(', ', CASE WHEN a * 100.0 / t > 1 THEN 'product_id' END, "
         "CASE WHEN b * 100.0 / t > 1 THEN 'price' END) END",
     )
     + """ FROM (SELECT count(*) AS t, count(*) - count(product_id) AS a, count(*) - count(price) AS b,
@@ -74,10 +74,10 @@ _DUP_GROUPS = "(SELECT count(*) AS n FROM fact_sales GROUP BY transaction_id)"
 
 
 @query("dq_duplicates", "DQ-02 DQ-03", f"""WITH {FACT_SALES_SQL}
-{_result("copies", "duplicate_check", "v = 0", "v", "t", "v * 100.0 / t", "'Found ' || v || ' duplicate records'")}
+{_result("copies", "duplicate_check", "v = 0", "v", "t", "v * 100.0 / t", "v || ' rows share their key'")}
 FROM (SELECT CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS v, sum(n) AS t FROM {_DUP_GROUPS})
 UNION ALL
-{_result("keys", "duplicate_check", "v = 0", "v", "t", "v * 100.0 / t", "'Found ' || v || ' duplicate keys'")}
+{_result("keys", "duplicate_check", "v = 0", "v", "t", "v * 100.0 / t", "v || ' keys occur more than once'")}
 FROM (SELECT count(*) FILTER (WHERE n > 1) AS v, sum(n) AS t FROM {_DUP_GROUPS})""")
 def dq_duplicates(spark, sf_dir):
     rules = [
@@ -88,9 +88,9 @@ def dq_duplicates(spark, sf_dir):
 
 
 @query("dq_range", "DQ-04", f"""WITH {FACT_SALES_SQL}
-{_counted("quantity", "range_check", "quantity < 2 OR quantity > 49", "fact_sales", "values outside range [2, 49]")}
+{_counted("quantity", "range_check", "quantity < 2 OR quantity > 49", "fact_sales", "values outside [2, 49]")}
 UNION ALL
-{_counted("amount", "range_check", "total_amount < 0", "fact_sales", "values outside range [0, None]")}""")
+{_counted("amount", "range_check", "total_amount < 0", "fact_sales", "values outside [0, None]")}""")
 def dq_range(spark, sf_dir):
     rules = [dq.RangeRule("quantity", "quantity", 2, 49), dq.RangeRule("amount", "total_amount", 0)]
     return _round(dq.check_rules(fact_sales(spark, sf_dir), rules), 6)
@@ -105,7 +105,7 @@ def dq_range_details(spark, sf_dir):
 
 @query("dq_pattern", "DQ-05 SCL-07", f"""
 {_counted("brand", "pattern_check", "NOT regexp_matches(p_brand, '^(?:Brand#[1-4])')", "part",
-          "values not matching pattern")}""")
+          "values do not match the pattern")}""")
 def dq_pattern(spark, sf_dir):
     rules = [dq.PatternRule("brand", "p_brand", "Brand#[1-4]")]
     return _round(dq.check_rules(table(spark, sf_dir, "part"), rules), 6)
@@ -134,7 +134,7 @@ _SMALL_PARTS = "(SELECT p_partkey FROM part WHERE p_size <= 40)"
 
 
 @query("dq_referential", "DQ-06 JN-03 SET-03", f"""
-{_result("product", "referential_check", "v = 0", "v", "t", "v * 100.0 / t", "'Found ' || v || ' values without reference'")}
+{_result("product", "referential_check", "v = 0", "v", "t", "v * 100.0 / t", "v || ' distinct values are not in the reference set'")}
 FROM (SELECT count(DISTINCT l_partkey) FILTER (WHERE l_partkey NOT IN {_SMALL_PARTS}) AS v,
              count(DISTINCT l_partkey) AS t FROM lineitem)""")
 def dq_referential(spark, sf_dir):
@@ -173,11 +173,11 @@ def dq_volume(spark, sf_dir):
 
 
 @query("dq_business", "DQ-13 DQ-16 PRJ-16", f"""WITH {FACT_SALES_SQL}
-{_counted("positive_amounts", "business_rule", "quantity <= 0 OR price <= 0 OR total_amount <= 0", "fact_sales", "violations")}
+{_counted("positive_amounts", "business_rule", "quantity <= 0 OR price <= 0 OR total_amount <= 0", "fact_sales", "rows break the rule")}
 UNION ALL
-{_counted("amount_calculation", "business_rule", "abs(total_amount - quantity * price) > 0.01", "fact_sales", "violations")}
+{_counted("amount_calculation", "business_rule", "abs(total_amount - quantity * price) > 0.01", "fact_sales", "rows break the rule")}
 UNION ALL
-{_counted("date_consistency", "business_rule", "transaction_date > DATE '2000-01-01'", "fact_sales", "violations")}""")
+{_counted("date_consistency", "business_rule", "transaction_date > DATE '2000-01-01'", "fact_sales", "rows break the rule")}""")
 def dq_business(spark, sf_dir):
     rules = dq.sales_rules(F.lit(datetime.date(2000, 1, 1)))
     return _round(dq.check_rules(fact_sales(spark, sf_dir), rules), 6)
@@ -212,7 +212,7 @@ def dq_source_gate(spark, sf_dir):
     return dq.check_rules(orders, rules).select("rule_name", "passed")
 
 
-@query("dq_report", "DQ-09 DQ-10 DQ-18 DQ-08 PRJ-12", f"""WITH {_DIRTY_SQL}
+@query("dq_report", "DQ-09 DQ-08 PRJ-12", f"""WITH {_DIRTY_SQL}
 SELECT rule_name, passed FROM ({_NULLS_SQL})
 UNION ALL SELECT 'unique', (SELECT max(n) FROM (SELECT count(*) AS n FROM dirty GROUP BY transaction_id)) = 1
 UNION ALL SELECT 'quantity', min(quantity) >= 1 AND max(quantity) <= 50 FROM dirty
@@ -230,10 +230,72 @@ def dq_report(spark, sf_dir):
 
 
 @query("box_quality", "DQ-17", f"""WITH {BOXES_SQL}
-{_counted("negative_coordinates", "business_rule", "x1 < 0 OR y1 < 0", "boxes", "violations")}
-UNION ALL {_counted("empty_area", "business_rule", "(x2 - x1) * (y2 - y1) <= 0", "boxes", "violations")}
-UNION ALL {_counted("small_area", "business_rule", "(x2 - x1) * (y2 - y1) < 100", "boxes", "violations")}
+{_counted("negative_coordinates", "business_rule", "x1 < 0 OR y1 < 0", "boxes", "rows break the rule")}
+UNION ALL {_counted("empty_area", "business_rule", "(x2 - x1) * (y2 - y1) <= 0", "boxes", "rows break the rule")}
+UNION ALL {_counted("small_area", "business_rule", "(x2 - x1) * (y2 - y1) < 100", "boxes", "rows break the rule")}
 UNION ALL {_counted("extreme_aspect", "business_rule",
-    "(x2 - x1) / (y2 - y1 + 1e-6) < 0.1 OR (x2 - x1) / (y2 - y1 + 1e-6) > 10", "boxes", "violations")}""")
+    "(x2 - x1) / (y2 - y1 + 1e-6) < 0.1 OR (x2 - x1) / (y2 - y1 + 1e-6) > 10", "boxes", "rows break the rule")}""")
 def box_quality(spark, sf_dir):
     return _round(dq.check_rules(boxes(spark, sf_dir), dq.box_rules()), 6)
+
+
+# Every third key is missing, so that a missing key repeats.
+_HOLEY_SQL = "SELECT CASE WHEN l_orderkey % 3 > 0 THEN l_orderkey END AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s FROM lineitem"
+
+
+@query("dq_null_keys", "DQ-02", f"""
+WITH t AS ({_HOLEY_SQL}), g AS (SELECT k, n, count(*) AS c FROM t GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT t.* FROM t JOIN g ON t.k IS NOT DISTINCT FROM g.k AND t.n IS NOT DISTINCT FROM g.n
+ORDER BY k NULLS FIRST, n, p, s LIMIT 20""")
+def dq_null_keys(spark, sf_dir):
+    key = F.when(F.col("l_orderkey") % 3 > 0, F.col("l_orderkey")).alias("k")
+    line = table(spark, sf_dir, "lineitem")
+    rows = line.select(key, F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"))
+    return dq.duplicate_rows(rows, ["k", "n"], 20)
+
+
+@query("dq_failing_rule", "DQ-07 UDF-05", """
+SELECT 'large' AS rule_name, 'business_rule' AS rule_type, false AS passed, count(*) FILTER (WHERE l_quantity > 45) AS violations,
+  count(*) AS total FROM lineitem
+UNION ALL SELECT 'inverse', 'custom_check', false, 0, 0
+UNION ALL SELECT 'suppliers', 'custom_check', true, 0, count(DISTINCT l_suppkey) FROM lineitem
+UNION ALL SELECT 'absent', 'null_check', true, 0, count(*) FROM lineitem
+UNION ALL SELECT 'bulk', 'custom_check', count(*) FILTER (WHERE l_quantity = 50) = 0, count(*) FILTER (WHERE l_quantity = 50),
+  count(*) FILTER (WHERE l_quantity = 50) FROM lineitem""")
+def dq_failing_rule(spark, sf_dir):
+    def suppliers(df):
+        n = df.select("l_suppkey").distinct().count()
+        return {"passed": n > 0, "violations": 0, "total": n}
+
+    rules = [
+        dq.PredicateRule("large", F.col("l_quantity") > 45),
+        dq.CustomRule("inverse", lambda df: 1 / (F.col("l_linenumber") - 1) > 2),  # fails on the first line of an order
+        dq.CustomRule("suppliers", suppliers),
+        dq.NullRule("absent", ["no_such_column"]),
+        dq.CustomRule("bulk", lambda df: df.filter("l_quantity = 50")),
+    ]
+    out = dq.check_rules(table(spark, sf_dir, "lineitem"), rules)
+    return out.select("rule_name", "rule_type", "passed", "violations", "total")
+
+
+_BRANDS = "'Brand#11', 'Brand#12', 'Brand#21', 'Brand#22'"
+
+
+@query("dq_reference_list", "DQ-06 SET-03", f"""
+SELECT DISTINCT p_brand FROM part WHERE p_brand NOT IN ({_BRANDS}) ORDER BY p_brand LIMIT 10""")
+def dq_reference_list(spark, sf_dir):
+    rule = dq.ReferenceRule("brand", "p_brand", [b.strip(" '") for b in _BRANDS.split(",")])
+    return dq.missing_references(table(spark, sf_dir, "part"), rule)
+
+
+@query("dq_text_report", "DQ-10 DQ-16 DQ-18", f"""WITH {FACT_SALES_SQL}
+SELECT '4 rules, 4 passed, 0 failed' AS line
+UNION ALL SELECT 'pass  critical_nulls [null_check] no column lacks too many values' FROM fact_sales
+  HAVING count(*) = count(product_id)
+UNION ALL SELECT 'pass  enough_rows [custom_check] the check holds' FROM fact_sales HAVING count(*) >= 10
+UNION ALL SELECT 'pass  positive_price [business_rule] ' || count(*) FILTER (WHERE price <= 0) || ' rows break the rule' FROM fact_sales
+UNION ALL SELECT 'pass  positive_quantity [business_rule] ' || count(*) FILTER (WHERE quantity <= 0) || ' rows break the rule'
+  FROM fact_sales""")
+def dq_text_report(spark, sf_dir):
+    results = dq.require_passed(dq.check_rules(fact_sales(spark, sf_dir), dq.file_rules(["product_id"])))
+    return spark.createDataFrame([(line,) for line in dq.text_report(results).split("\n")], "line string")
