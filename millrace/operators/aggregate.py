@@ -9,6 +9,29 @@ from pyspark.sql import functions as F
 
 AggSpec = str | Callable[[Column], Column]
 
+
+def skewness(value: Column) -> Column:
+    """Bias-corrected skewness; NULL for fewer than three values."""
+    n = F.count(value).cast("double")
+    return F.when(n > 2, F.try_divide(F.skewness(value) * F.sqrt(n * (n - 1)), n - 2))
+
+
+def kurtosis(value: Column) -> Column:
+    """Bias-corrected excess kurtosis; NULL for fewer than four values."""
+    n = F.count(value).cast("double")
+    return F.when(n > 3, F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6))
+
+
+def quantile(share: float = 0.5) -> Callable[[Column], Column]:
+    """Exact quantile with linear interpolation."""
+
+    def at(value: Column) -> Column:
+        return F.percentile(value, F.lit(share))
+
+    at.__name__ = f"q{round(share * 100)}"
+    return at
+
+
 # Aggregate names a caller may use, with sample statistics as the default.
 NAMED: dict[str, Callable[[Column], Column]] = {
     "sum": F.sum,
@@ -19,18 +42,30 @@ NAMED: dict[str, Callable[[Column], Column]] = {
     "max": F.max,
     "std": F.stddev,
     "var": F.variance,
-    "first": F.first,
-    "last": F.last,
     "nunique": F.countDistinct,
     "approx_nunique": F.approx_count_distinct,
-    "skew": F.skewness,
+    "skew": skewness,
+    "kurt": kurtosis,
+    "median": F.median,
+    "quantile": quantile(),
+    "prod": F.product,
+    "size": lambda value: F.count(F.lit(1)),
 }
+# Names that need an order of rows.
+ORDERED: dict[str, Callable[[Column, Column], Column]] = {"first": F.min_by, "last": F.max_by}
 
 
-def resolve(fn: AggSpec) -> Callable[[Column], Column]:
-    """Turn an aggregate name or a Column function into a Column function."""
+def resolve(fn: AggSpec, order: Column | None = None) -> Callable[[Column], Column]:
+    """Turn an aggregate name or a Column function into a Column function.
+
+    ``first`` and ``last`` take the first or last value that is not NULL, in the given order.
+    """
     if callable(fn):
         return fn
+    if fn in ORDERED:
+        if order is None:
+            raise ValueError(f"{fn} needs an order column")
+        return lambda value: ORDERED[fn](value, F.when(value.isNotNull(), order))
     if fn not in NAMED:
         raise ValueError(f"unknown aggregate: {fn}")
     return NAMED[fn]
@@ -41,25 +76,27 @@ def aggregate(
     group_by: str | Sequence[str],
     aggregations: dict[str, AggSpec | Sequence[AggSpec] | dict[str, AggSpec]],
     keep_null_keys: bool = False,
+    order_by: str | Column | None = None,
 ) -> DataFrame:
     """General group-by.
 
     A single function keeps the column name, a list gives ``<col>_<fn>``, and a
     dict maps output names to functions. Rows with a NULL key are dropped unless
-    ``keep_null_keys``.
+    ``keep_null_keys``. ``order_by`` gives the row order for ``first`` and ``last``.
     """
+    order = F.col(order_by) if isinstance(order_by, str) else order_by
     keys = [group_by] if isinstance(group_by, str) else list(group_by)
     multi = any(isinstance(s, (list, tuple)) for s in aggregations.values())
     out = []
     for column, spec in aggregations.items():
         value = F.col(column)
         if isinstance(spec, dict):
-            out += [resolve(fn)(value).alias(name) for name, fn in spec.items()]
+            out += [resolve(fn, order)(value).alias(name) for name, fn in spec.items()]
         elif isinstance(spec, (list, tuple)):
-            out += [resolve(fn)(value).alias(f"{column}_{_fn_name(fn)}") for fn in spec]
+            out += [resolve(fn, order)(value).alias(f"{column}_{_fn_name(fn)}") for fn in spec]
         else:
             name = f"{column}_{_fn_name(spec)}" if multi else column
-            out.append(resolve(spec)(value).alias(name))
+            out.append(resolve(spec, order)(value).alias(name))
     if not keep_null_keys:
         df = df.dropna(subset=keys)
     return df.groupBy(*keys).agg(*out)

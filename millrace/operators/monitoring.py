@@ -52,22 +52,26 @@ def windowed_rate(
     )
 
 
-def held_alerts(windows: DataFrame, breach: Column, hold: int, order: str = "window_start", keys: Sequence[str] = ()) -> DataFrame:
-    """Windows in which ``breach`` has held for ``hold`` adjacent windows.
+def held_alerts(
+    windows: DataFrame, breach: Column, hold: int, order: str = "window_start", keys: Sequence[str] = (),
+    slide: str | None = None,
+) -> DataFrame:
+    """Windows in which ``breach`` has held for ``hold`` successive windows.
 
-    Takes windows that are already aggregated and evenly spaced; a missing
-    window breaks the run. Self-joining on shifted window starts is not needed:
-    the frame covers ``hold`` windows by time, and must be full of breaches.
+    Takes windows that are already aggregated, ``slide`` apart (their own width by
+    default); a missing window breaks the run. Self-joining on shifted window starts is not
+    needed: a run is complete when the window ``hold - 1`` rows earlier is as many steps away.
     """
-    seconds = F.unix_timestamp("window_end") - F.unix_timestamp("window_start")
-    rows = windows.filter(breach).withColumn("_t", F.unix_timestamp(order)).withColumn("_w", seconds)
-    # Runs are found per day-long block of time, each led by the windows before it.
+    if hold < 1:
+        raise ValueError("hold counts windows, from 1")
+    start = F.unix_timestamp("window_start")
+    after = F.col("window_start") + F.expr(f"INTERVAL {slide}") if slide else F.col("window_end")
+    rows = windows.filter(breach).withColumn("_t", F.unix_timestamp(order)).withColumn("_w", F.unix_timestamp(after) - start)
+    # Runs are found per day-long block of time; a window also goes to every later block its run can reach.
     span = 86_400
     home = F.floor(F.col("_t") / span)
     lead = F.col("_w") * (hold - 1)
-    blocks = F.explode(
-        F.when(F.floor((F.col("_t") + lead) / span) > home, F.array(home, home + 1)).otherwise(F.array(home))
-    )
+    blocks = F.explode(F.sequence(home, F.floor((F.col("_t") + lead) / span)))
     placed = rows.withColumn("_home", home).withColumn("_block", blocks)
     w = Window.partitionBy(*keys, "_block").orderBy("_t")
     run = F.col("_t") - F.lag("_t", hold - 1).over(w) if hold > 1 else F.lit(0)

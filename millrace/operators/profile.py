@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.aggregate import kurtosis, skewness
 from millrace.operators.ordered import exact_quantiles, join_on
 
 
@@ -44,12 +45,6 @@ def summary_statistics(
     for c in columns:
         v = known(c).cast("double")
         n = F.count(v)
-        nd = n.cast("double")
-        skew = F.when(n > 2, F.try_divide(F.skewness(v) * F.sqrt(nd * (nd - 1)), nd - 2))
-        kurt = F.when(
-            n > 3,
-            F.try_divide(nd - 1, (nd - 2) * (nd - 3)) * ((nd + 1) * F.kurtosis(v) + 6),
-        )
         aggs += [
             n.alias(f"count__{c}"),
             F.avg(v).alias(f"mean__{c}"),
@@ -58,8 +53,8 @@ def summary_statistics(
             F.max(v).alias(f"max__{c}"),
             (F.count("*") - n).alias(f"null_count__{c}"),
             (F.try_divide(F.count("*") - n, F.count("*")) * 100).alias(f"null_percentage__{c}"),
-            skew.alias(f"skewness__{c}"),
-            kurt.alias(f"kurtosis__{c}"),
+            skewness(v).alias(f"skewness__{c}"),
+            kurtosis(v).alias(f"kurtosis__{c}"),
         ]
     fields = ["count", "mean", "std", "min", "max", "null_count", "null_percentage", "skewness", "kurtosis"]
     moments = _long(df.groupBy(*by).agg(*aggs), by, columns, fields)

@@ -54,10 +54,18 @@ def date_parts(df: DataFrame, column: str) -> DataFrame:
 def _fill_gaps(binned: DataFrame, start: str, freq: str, zero: Sequence[str]) -> DataFrame:
     """Add the bins between the first and the last one; sums and counts become 0."""
     step = F.expr(f"INTERVAL {_STEP[freq].upper()}")
-    bounds = binned.agg(F.min(start).alias("_lo"), F.max(start).alias("_hi"))
-    grid = bounds.filter(F.col("_lo").isNotNull()).select(
-        F.explode(F.sequence("_lo", "_hi", step)).alias(start)
+    bounds = binned.agg(F.min(start).alias("_lo"), F.max(start).alias("_hi")).filter(F.col("_lo").isNotNull())
+    # First the years, then the bins of each: a stray date makes rows, never one huge list.
+    year = F.expr("INTERVAL 1 YEAR")
+    years = bounds.select(
+        "_lo", "_hi", F.explode(F.sequence(F.date_trunc("year", "_lo"), F.date_trunc("year", "_hi"), year)).alias("_year")
+    ).repartition("_year")
+    # The grid of a year counts from the first bin at or before it, so that weeks run on across years.
+    first = _start(F.greatest("_year", "_lo"), freq)
+    grid = years.select(
+        "_lo", "_hi", "_year", F.explode(F.sequence(first, F.least(F.col("_year") + year, F.col("_hi")), step)).alias(start)
     )
+    grid = grid.filter((F.col(start) >= F.col("_lo")) & (F.col(start) <= F.col("_hi"))).select(start).distinct()
     return grid.join(binned, start, "left").fillna(0, subset=list(zero))
 
 
@@ -109,7 +117,9 @@ def aggregate_by_time_window(
     hourly = df.filter(ts.isNotNull()).groupBy(_start(ts, "H").alias("_hour")).agg(*parts)
     results = {}
     for window in windows:
-        freq = WINDOW_NAMES.get(window, "D")
+        freq = WINDOW_NAMES.get(window, window)
+        if freq not in _UNIT:
+            raise ValueError(f"unknown window: {window}")
         cols, zero = [], []
         for c in value_columns:
             total, n = F.sum(f"_sum_{c}"), F.sum(f"_count_{c}")

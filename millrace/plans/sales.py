@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregate as agg
-from millrace.operators import profile, timeseries
+from millrace.operators import metrics, profile, timeseries
 from millrace.registry import query
 from millrace.tables import FACT_SALES_SQL, events, fact_sales, table
 
@@ -291,3 +291,53 @@ FROM {t}, (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (
     for t, c in (("documents", "n_chars"),)))
 def outlier_summary(spark, sf_dir):
     return _round(profile.outlier_summary(table(spark, sf_dir, "documents"), ["n_chars"]))
+
+
+@query("aggregate_named", "AGG-01 UDF-03", """
+SELECT l_returnflag, l_linestatus, median(l_quantity) AS med, round(quantile_cont(l_quantity, 0.9), 6) AS q90,
+  round(skewness(l_extendedprice), 6) AS skew, round(kurtosis(l_extendedprice), 6) AS kurt,
+  round(ln(product(1 + l_discount / 1000)), 6) AS prod, count(*) AS size,
+  first(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS first,
+  last(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS last,
+  max(l_quantity) - min(l_quantity) AS spread
+FROM lineitem GROUP BY 1, 2""")
+def aggregate_named(spark, sf_dir):
+    def spread(value):
+        return F.max(value) - F.min(value)
+
+    line = table(spark, sf_dir, "lineitem").withColumn("factor", 1 + F.col("l_discount") / 1000)
+    out = agg.aggregate(
+        line,
+        ["l_returnflag", "l_linestatus"],
+        {
+            "l_quantity": {"med": "median", "q90": agg.quantile(0.9), "spread": spread, "size": "size"},
+            "l_extendedprice": {"skew": "skew", "kurt": "kurt", "first": "first", "last": "last"},
+            "factor": {"prod": "prod"},
+        },
+        order_by=F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+    )
+    return _round(out.withColumn("prod", F.ln("prod")), 6)
+
+
+@query("metric_list", "AGG-02 WIN-03 WIN-04 PRJ-16", """
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, round(sum(o_totalprice), 2) AS total, count(*)::DOUBLE AS n,
+  count(*) FILTER (WHERE o_orderstatus = 'F')::DOUBLE AS done FROM orders GROUP BY 1)
+SELECT month, total, n, done, round(total / nullif(done, 0), 4) AS per_done, round(done / n * 100, 4) AS done_share, n - done AS open,
+  round((total / lag(total) OVER (ORDER BY month) - 1) * 100, 4) AS growth, round(sum(total) OVER (ORDER BY month), 1) AS so_far,
+  rank() OVER (ORDER BY n DESC) + (count(*) OVER (PARTITION BY n) - 1) / 2 AS place, round(total / n, 4) AS each
+FROM m""")
+def metric_list(spark, sf_dir):
+    done = F.count_if(F.col("o_orderstatus") == "F").cast("double")
+    months = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+        F.round(F.sum("o_totalprice"), 2).alias("total"), F.count("*").cast("double").alias("n"), done.alias("done")
+    )
+    out = metrics.calculate_metrics(months, [
+        {"name": "per_done", "type": "ratio", "numerator": "total", "denominator": "done"},
+        {"name": "done_share", "type": "percentage", "value": "done", "total": "n"},
+        {"name": "open", "type": "difference", "column1": "n", "column2": "done"},
+        {"name": "growth", "type": "growth_rate", "value": "total"},
+        {"name": "so_far", "type": "cumulative", "value": "total"},
+        {"name": "place", "type": "rank", "value": "n"},
+        {"name": "each", "type": "custom", "formula": "total / n"},
+    ], ["month"])
+    return _round(out.withColumn("so_far", F.round("so_far", 1)))

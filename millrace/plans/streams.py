@@ -220,6 +220,34 @@ def alert_error_rate(spark, sf_dir):
     return _round(held.select(start, "hits", "total", "hit_share"), 6)
 
 
+def _runs_sql(windows, hold, step):
+    """Windows of a breaching run at least ``hold`` long, by numbering runs of successive windows."""
+    return f"""
+WITH w AS ({windows}), bad AS (SELECT * FROM w WHERE breach),
+r AS (SELECT *, epoch(s)::BIGINT // {step} - row_number() OVER (ORDER BY s) AS run FROM bad),
+c AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY s) AS held FROM r)
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, hits, total FROM c WHERE held >= {hold}"""
+
+
+@query("alert_long_hold", "AGG-24", _runs_sql("""
+  SELECT time_bucket(INTERVAL '1 hour', ts) AS s, count(*) FILTER (WHERE event_type = 'error') AS hits, count(*) AS total,
+    count(*) > 7 AS breach FROM events GROUP BY 1""", 30, 3600))
+def alert_long_hold(spark, sf_dir):
+    windows = mon.windowed_rate(events(spark, sf_dir), "ts", F.col("event_type") == "error", "1 hour")
+    held = mon.held_alerts(windows, F.col("total") > 7, 30)
+    return held.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "hits", "total")
+
+
+@query("alert_sliding", "AGG-24", _runs_sql("""
+  SELECT s, count(*) FILTER (WHERE event_type = 'error') AS hits, count(*) AS total,
+    count(*) FILTER (WHERE event_type = 'error') / count(*) > 0.12 AS breach
+  FROM (SELECT *, time_bucket(INTERVAL '1 hour', ts) - INTERVAL '1 hour' * unnest([0, 1, 2]) AS s FROM events) GROUP BY 1""", 4, 3600))
+def alert_sliding(spark, sf_dir):
+    windows = mon.windowed_rate(events(spark, sf_dir), "ts", F.col("event_type") == "error", "3 hours", "1 hour")
+    held = mon.held_alerts(windows, F.col("hit_share") > 0.12, 4, slide="1 hour")
+    return held.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "hits", "total")
+
+
 @query("duration_percentiles", "AGG-25", f"""WITH {_METRICS_SQL}
 SELECT stage, round(quantile_cont(duration, 0.5), 4) AS p50, round(quantile_cont(duration, 0.95), 4) AS p95 FROM metrics GROUP BY 1""")
 def duration_percentiles(spark, sf_dir):
