@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import ROW, columns, tasks_for, with_row
-from millrace.llm.components import components
+from millrace.operators.components import components
 from millrace.session import pin
 
 WORDS = 3

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 
 from millrace.llm import exact, simhash
-from millrace.llm.components import components
+from millrace.operators.components import components
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
