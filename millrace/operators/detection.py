@@ -11,11 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import boxes as bx
-from millrace.operators.ordered import running, with_ordinal
+from millrace.operators.components import components
+from millrace.operators.ordered import join_on, running, with_ordinal
 from millrace.session import pin, unpin
 
 # Largest group handled inside one row.
@@ -35,15 +36,19 @@ _TARGET = ["x1", "y1", "x2", "y2"]
 def _level_of(iou_threshold: float, b: bx.Corners) -> Column:
     """Size class of a box. Boxes that overlap by the threshold or more have
     sides within that factor, so their classes differ by at most one."""
-    if not 0 < iou_threshold <= 1:
-        raise ValueError("the overlap threshold must be above 0 and at most 1")
     base = _base(iou_threshold)
     side = F.greatest(b[2] - b[0], b[3] - b[1])
     return F.when(side > 0, F.floor(F.log(side) / math.log(base)))
 
 
+def _check_threshold(iou_threshold: float) -> None:
+    if not 0 <= iou_threshold <= 1:
+        raise ValueError("the overlap threshold must be from 0 to 1")
+
+
 def _base(iou_threshold: float) -> float:
-    return (1 + 1e-9) / iou_threshold  # a hair wider, against rounding of logs
+    # A hair wider, against rounding of logs. At 0 any two sizes may overlap; classes then double.
+    return (1 + 1e-9) / iou_threshold if iou_threshold else 2.0
 
 
 def _side(iou_threshold: float, level: Column) -> Column:
@@ -85,6 +90,43 @@ def _with_cells(df: DataFrame, iou_threshold: float, prefix: str = "", hot: Colu
     )
 
 
+def _touched(df: DataFrame, prefix: str, first: Column, last: Column) -> DataFrame:
+    """One row per cell a box touches at the size classes ``first`` to ``last``, at threshold 0."""
+    b = bx.corners(prefix)
+
+    def cells(level: Column) -> Column:
+        s = _side(0, level)
+        xs, ys = (F.sequence(F.floor(b[i] / s), F.floor(b[i + 2] / s)) for i in (0, 1))
+        return F.flatten(F.transform(xs, lambda x: F.transform(
+            ys, lambda y: F.struct(level.alias("_level"), x.alias("_cx"), y.alias("_cy"))
+        )))
+
+    levels = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    return df.select("*", F.inline(F.flatten(F.transform(levels, cells))))
+
+
+def _touching(lhs: DataFrame, rhs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pairs with any overlap. A box looks in the cells of its own and of every larger size
+    class, but only for boxes of just that class, so boxes far apart never meet."""
+    sized = []
+    for df, prefix in ((lhs, "l_"), (rhs, "r_")):
+        b = bx.corners(prefix)
+        df = df.filter((b[2] > b[0]) & (b[3] > b[1]))  # a box without extent overlaps nothing
+        sized.append(df.withColumn(f"{prefix}_own", _level_of(0, b)))
+    top = max((d.agg(F.max(f"{p}_own")).first()[0] or 0 for d, p in zip(sized, ("l_", "r_"))))
+    top = F.lit(top).cast("long")
+    lb, rb, parts = bx.corners("l_"), bx.corners("r_"), []
+    for (own, a), (other, b), gap in (
+        ((sized[0], "l_"), (sized[1], "r_"), 0), ((sized[1], "r_"), (sized[0], "l_"), 1),
+    ):
+        fixed = _touched(own, a, F.col(f"{a}_own"), F.col(f"{a}_own"))
+        looking = _touched(other, b, F.col(f"{b}_own") + gap, top)
+        s = _side(0, F.col("_level"))
+        once = (F.col("_cx") == F.floor(F.greatest(lb[0], rb[0]) / s)) & (F.col("_cy") == F.floor(F.greatest(lb[1], rb[1]) / s))
+        parts.append(fixed.join(looking, [*keys, *_CELL]).filter(once).drop(*_CELL, "l__own", "r__own"))
+    return parts[0].unionByName(parts[1])
+
+
 def _large_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
     """Keys of groups above the limit, or None when there are none."""
     large = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).drop("_n")
@@ -101,14 +143,19 @@ def iou_join(
 
     Columns other than the keys come back as ``l_<name>`` and ``r_<name>`` with
     ``iou``. Only boxes that can overlap enough are ever paired: small groups by
-    key, large groups by grid cell.
+    key, large groups (of both sides together) by grid cell. At threshold 0 any overlap
+    counts. Boxes that only touch, or have no extent, do not overlap; a NULL key matches nothing.
     """
+    _check_threshold(iou_threshold)
     keys = list(keys)
     lhs = left.select(*keys, *[F.col(c).alias(f"l_{c}") for c in left.columns if c not in keys])
     rhs = right.select(*keys, *[F.col(c).alias(f"r_{c}") for c in right.columns if c not in keys])
     lb, rb = bx.corners("l_"), bx.corners("r_")
     touch = (lb[0] < rb[2]) & (rb[0] < lb[2]) & (lb[1] < rb[3]) & (rb[1] < lb[3])
-    large = _large_groups(right.select(*keys), keys, limit)
+    overlap = bx.iou(lb, rb)
+    if iou_threshold == 0:
+        return _touching(lhs, rhs, keys).withColumn("iou", overlap).filter("iou > 0")
+    large = _large_groups(left.select(*keys).union(right.select(*keys)), keys, limit)
     if large is None:
         pairs = lhs.join(rhs, keys).filter(touch)
     else:
@@ -128,7 +175,7 @@ def iou_join(
             & (F.col("_cy") == F.floor(F.greatest(lb[1], rb[1]) / s))
         )
         pairs = cells.filter(touch & (~hot | once)).drop(*_CELL, "_hot", "l__level", "r__level")
-    return pairs.withColumn("iou", bx.iou(lb, rb)).filter(F.col("iou") >= iou_threshold)
+    return pairs.withColumn("iou", overlap).filter(F.col("iou") >= iou_threshold)
 
 
 # --- greedy grouping ---------------------------------------------------------------
@@ -153,23 +200,26 @@ def greedy_groups(
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Add ``leader_id``: boxes taken in order either join the first leader they
-    overlap enough, or lead a group of their own. Ties in order go by id.
+    overlap enough, or lead a group of their own. Ties in order go by id. NULL keys form a
+    group like any other.
     """
+    _check_threshold(iou_threshold)
     keys = list(keys)
     ordered = df.withColumn("_order", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_by)], F.col(box_id).alias("id")))
     large = _large_groups(df.select(*keys), keys, limit)
     if large is None:
         return _groups_in_rows(ordered, keys, box_id, iou_threshold, inclusive, df.columns)
-    small = ordered.join(large, keys, "left_anti")
-    big = ordered.join(large, keys, "left_semi")
+    small = join_on(ordered, large, keys, "left_anti")
+    # A struct is never NULL, so groups whose key is NULL join like others.
+    big = join_on(ordered, large, keys, "left_semi").withColumn("_group", F.struct(*keys))
     return _groups_in_rows(small, keys, box_id, iou_threshold, inclusive, df.columns).unionByName(
-        _groups_in_rounds(big, keys, box_id, iou_threshold, inclusive, df.columns)
+        _groups_in_rounds(big, ["_group"], box_id, iou_threshold, inclusive, df.columns)
     )
 
 
 def _groups_in_rows(df, keys, box_id, iou_threshold, inclusive, columns) -> DataFrame:
     rest = [c for c in columns if c not in keys]
-    item = F.struct("_order", *rest)
+    item = F.struct("_order", *[c for c in rest if c != "_order"])
     listed = df.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("_boxes"))
     none = F.slice("_boxes", 1, 0)
 
@@ -201,7 +251,10 @@ def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> Da
     """
     if not inclusive and iou_threshold >= 1:
         return df.select(*columns, F.col(box_id).alias("leader_id"))
-    cell_keys, id_keys = [*keys, *_CELL], [*keys, "_id"]
+    if inclusive and iou_threshold == 0:  # every box, overlapping or not, joins the first one
+        first = df.groupBy(*keys).agg(F.min("_order").alias("_first"))
+        return df.join(first, keys).select(*columns, F.col("_first.id").alias("leader_id"))
+    id_keys = [*keys, "_id"]
     slim = df.select(*keys, "_order", F.col(box_id).alias("_id"), *_TARGET)
     # A box without extent covers nothing and is never covered.
     firsts = (
@@ -212,7 +265,7 @@ def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> Da
     remaining = pin(with_ordinal(firsts, ["_order"], keys, "_rank"))
     leaders = None
     while True:
-        n, pairs = _pair_estimate(remaining, cell_keys, iou_threshold)
+        n, pairs = _pair_estimate(remaining, keys, iou_threshold)
         if n == 0:
             break
         share = min(1.0, math.sqrt(max(PAIR_BUDGET, PAIRS_PER_BOX * n) / max(pairs, 1)))
@@ -223,48 +276,84 @@ def _groups_in_rounds(df, keys, box_id, iou_threshold, inclusive, columns) -> Da
         if not inclusive:
             ordered = ordered.filter(F.col("iou") > iou_threshold)
         edges = pin(ordered.select(*keys, F.col("l__id").alias("_src"), F.col("r__id").alias("_id")))
-        new = _settle(prefix, edges, keys)
+        new = _settle(prefix, edges, keys, iou_threshold, inclusive)
         leaders = new if leaders is None else leaders.unionByName(new)
-        lead = _with_cells(new, iou_threshold).select(*cell_keys, F.struct(*_TARGET).alias("_lead"))
         later = remaining.filter(F.col("_rank") > cut)
-        covered = _with_cells(later, iou_threshold).join(lead, cell_keys).filter(
-            _hits(F.col("_lead"), F.struct(*_TARGET), iou_threshold, inclusive)
-        )
+        covered = iou_join(later.select(*id_keys, *_TARGET), new.select(*id_keys, *_TARGET), keys, iou_threshold, 0)
+        if not inclusive:
+            covered = covered.filter(F.col("iou") > iou_threshold)
         done = remaining
-        remaining = pin(later.join(covered.select(*id_keys).distinct(), id_keys, "left_anti"))
+        covered = covered.select(*keys, F.col("l__id").alias("_id")).distinct()
+        remaining = pin(later.join(covered, id_keys, "left_anti"))
         unpin(done)
     if leaders is None:  # only boxes without extent
         return df.select(*columns, F.col(box_id).alias("leader_id"))
-    # Leaders of one cell hardly overlap each other, so only a few share a cell.
-    lead = _with_cells(leaders, iou_threshold).select(
-        *cell_keys, F.col("_order").alias("_lead_order"), F.col("_id").alias("_lead_id"),
-        F.struct("x1", "y1", "x2", "y2").alias("_lead"),
-    )
+    # Leaders hardly overlap each other, so a box meets only a few of them.
+    parts = [*id_keys, "_order", *_TARGET]
+    met = iou_join(slim.select(*parts), leaders.select(*parts), keys, iou_threshold, 0)
+    if not inclusive:
+        met = met.filter(F.col("iou") > iou_threshold)
     found = (
-        _with_cells(slim, iou_threshold)
-        .join(lead, cell_keys)
-        .filter(
-            (F.col("_lead_order") <= F.col("_order"))
-            & _hits(F.col("_lead"), F.struct("x1", "y1", "x2", "y2"), iou_threshold, inclusive)
-        )
-        .groupBy(*keys, "_id")
-        .agg(F.min_by("_lead_id", "_lead_order").alias("leader_id"))
-        .withColumnRenamed("_id", box_id)
+        met.filter(F.col("r__order") <= F.col("l__order"))
+        .groupBy(*keys, F.col("l__id").alias(box_id))
+        .agg(F.min_by("r__id", "r__order").alias("leader_id"))
     )
     joined = df.join(found, [*keys, box_id], "left")
     return joined.select(*columns, F.coalesce("leader_id", box_id).alias("leader_id"))
 
 
-def _pair_estimate(df: DataFrame, cell_keys: Sequence[str], iou_threshold: float) -> tuple[int, int]:
+def _pair_estimate(df: DataFrame, keys: Sequence[str], iou_threshold: float) -> tuple[int, int]:
     """Boxes, and pairs that would meet in a cell."""
-    per_cell = _with_cells(df, iou_threshold).groupBy(*cell_keys).agg(F.count("*").alias("_n"))
-    pairs = per_cell.agg(F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.lit(0.0))).first()[0]
-    return df.count(), int(pairs)
+    n, cell = df.count(), [*keys, *_CELL]
+    if iou_threshold:
+        per_cell = _with_cells(df, iou_threshold).groupBy(*cell).agg(F.count("*").alias("_n"))
+        pairs = per_cell.agg(F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1) / 2), F.lit(0.0))).first()[0]
+        return n, int(pairs)
+    sized = df.withColumn("_own", _level_of(0, bx.corners()))
+    top = F.lit(sized.agg(F.max("_own")).first()[0] or 0).cast("long")
+    own = _touched(sized, "", F.col("_own"), F.col("_own")).groupBy(*cell).agg(F.count("*").alias("_n"))
+    seen = _touched(sized, "", F.col("_own"), top).groupBy(*cell).agg(F.count("*").alias("_m"))
+    pairs = own.join(seen, cell).agg(F.coalesce(F.sum(F.col("_n") * F.col("_m")), F.lit(0))).first()[0]
+    return n, int(pairs)
+
+
+def _settle(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], iou_threshold: float, inclusive: bool) -> DataFrame:
+    """Leaders among ``nodes``. ``edges`` run from earlier to later overlapping boxes.
+
+    Boxes of different components of the overlap graph do not concern each other. Components
+    up to GROUP_LIMIT boxes are settled each inside a row, however long their chains; only
+    larger ones go round by round.
+    """
+    id_keys = [*keys, "_id"]
+    # Two ids that hash alike would only join two components, which changes no result.
+    node = F.xxhash64(*id_keys)
+    ends = edges.select(node.alias("v"), F.xxhash64(*keys, F.col("_src")).alias("u"))
+    roots = pin(components(ends).groupBy("node").agg(F.min("root").alias("_root")))
+    sizes = roots.groupBy("_root").agg((F.count("*") > GROUP_LIMIT).alias("_giant"))
+    placed = pin(nodes.withColumn("node", node).join(roots, "node", "left").join(sizes, "_root", "left").drop("node"))
+    unpin(roots, edges)
+    columns = nodes.columns
+    alone = placed.filter(F.col("_root").isNull()).select(*columns)
+    small = placed.filter(~F.col("_giant")).select("_root", *columns)
+    led = _groups_in_rows(small, ["_root"], "_id", iou_threshold, inclusive, small.columns)
+    leaders = alone.unionByName(led.filter(F.col("leader_id") == F.col("_id")).select(*columns))
+    giants = placed.filter("_giant").select(*columns)
+    if not giants.isEmpty():
+        giants = pin(giants)
+        again = [*id_keys, "_order", *_TARGET]
+        pairs = iou_join(giants.select(*again), giants.select(*again), keys, iou_threshold, 0).filter("l__order < r__order")
+        if not inclusive:
+            pairs = pairs.filter(F.col("iou") > iou_threshold)
+        giant_edges = pin(pairs.select(*keys, F.col("l__id").alias("_src"), F.col("r__id").alias("_id")))
+        leaders = leaders.unionByName(_settle_in_rounds(giants, giant_edges, keys))
+    out = pin(leaders)
+    unpin(placed)
+    return out
 
 
-def _settle(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Leaders among ``nodes``: a box leads when no open box before it overlaps
-    it; what it overlaps is settled. ``edges`` run from earlier to later boxes."""
+def _settle_in_rounds(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Leaders of giant components: a box leads when no open box before it overlaps it;
+    what it overlaps is settled."""
     id_keys = [*keys, "_id"]
     parts = []
     while not edges.isEmpty():
@@ -302,13 +391,27 @@ def non_max_suppression(
 # --- ensembles ----------------------------------------------------------------------
 
 
+def _weighted(df: DataFrame, confidence: str, weights: dict | None, model: str) -> DataFrame:
+    if not weights:
+        return df
+    total = sum(weights.values())
+    share = F.create_map(*[F.lit(x) for m, w in weights.items() for x in (m, w / total)])
+    return df.withColumn(confidence, F.col(confidence) * F.element_at(share, F.col(model)))
+
+
 def weighted_fusion(
     df: DataFrame, image: str = "image_id", class_id: str = "class_id", confidence: str = "score",
     order_by: Sequence[str] = ("model_id",), box_id: str = "box_id",
     iou_threshold: float = 0.45, min_confidence: float = 0.25, limit: int = GROUP_LIMIT,
+    weights: dict | None = None, model: str = "model_id",
 ) -> DataFrame:
     """Merge boxes of several models: confidence-weighted corners, weighted class
-    vote and mean confidence per group."""
+    vote and mean confidence per group.
+
+    ``weights`` maps models to weights; scaled to a sum of 1 they multiply the confidences
+    before anything else.
+    """
+    df = _weighted(df, confidence, weights, model)
     groups = greedy_groups(df, [image], [F.col(c) for c in order_by], box_id, iou_threshold, False, limit)
     w = F.col(confidence)
     order = F.struct(*[F.col(c) for c in order_by], F.col(box_id))
@@ -318,19 +421,14 @@ def weighted_fusion(
         *[F.max(c).alias(f"only_{c}") for c in ("x1", "y1", "x2", "y2")],
     )
     # The heaviest class wins; of equal ones, the one seen first.
-    fused = by_class.groupBy(image, "leader_id").agg(
+    seen = Window.partitionBy(image, "leader_id").orderBy("first")
+    fused = by_class.withColumn("_rank", F.row_number().over(seen)).groupBy(image, "leader_id").agg(
         F.sum("n").alias("members"), F.sum("votes").alias("total"),
-        F.max("votes").alias("_top"),
-        F.collect_list(F.struct("votes", "first", class_id)).alias("_votes"),
+        F.max_by(F.struct("first", class_id), F.struct("votes", (-F.col("_rank")).alias("r"))).alias("_won"),
         *[F.sum(c).alias(c) for c in ("x1", "y1", "x2", "y2")],
         *[F.max(f"only_{c}").alias(f"only_{c}") for c in ("x1", "y1", "x2", "y2")],
     )
-    best = F.array_min(
-        F.transform(
-            F.filter("_votes", lambda v: v["votes"] == F.col("_top")),
-            lambda v: F.struct(v["first"].alias("first"), v[class_id].alias("c")),
-        )
-    )["c"]
+    best = F.col(f"_won.{class_id}")
     corners = {
         c: F.when(F.col("members") == 1, F.col(f"only_{c}")).otherwise(F.try_divide(F.col(c), F.col("total")))
         for c in ("x1", "y1", "x2", "y2")
@@ -346,11 +444,13 @@ def weighted_fusion(
 def max_confidence_fusion(
     df: DataFrame, image: str = "image_id", confidence: str = "score", order_by: Sequence[str] = ("model_id",),
     box_id: str = "box_id", iou_threshold: float = 0.45, min_confidence: float = 0.25, limit: int = GROUP_LIMIT,
+    weights: dict | None = None, model: str = "model_id",
 ) -> DataFrame:
-    """The most confident box of each group, the first one of equals.
+    """The most confident box of each group, the first one of equals; ``weights`` as in ``weighted_fusion``.
 
     Voting is the same operation.
     """
+    df = _weighted(df, confidence, weights, model)
     groups = greedy_groups(df, [image], [F.col(c) for c in order_by], box_id, iou_threshold, False, limit)
     best = groups.groupBy(image, "leader_id").agg(
         F.min_by(
@@ -391,7 +491,7 @@ def match_boxes(
         hits = _match_in_rows(pairs, keys)
     else:
         hits = _match_in_rows(pairs.join(large, keys, "left_anti"), keys).union(
-            _match_in_rounds(pairs.join(large, keys, "left_semi"), keys)
+            _match_by_components(pairs.join(large, keys, "left_semi"), keys, limit)
         )
     found = hits.withColumnRenamed("l_id", box_id)
     joined = predictions.join(found, [*keys, box_id], "left")
@@ -412,6 +512,21 @@ def _match_in_rows(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return taken.select(*keys, "_p.l_id", (-F.col("_p.neg_iou")).alias("iou"))
 
 
+def _match_by_components(pairs: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Large groups: predictions and targets that pairs connect form components, which do not
+    concern each other. Those up to the limit are settled each inside a row, the others in rounds."""
+    # Nodes that hash alike would only join two components, which changes no result.
+    p, t = F.xxhash64(*keys, F.lit("p"), "l_id"), F.xxhash64(*keys, F.lit("t"), "target")
+    roots = pin(components(pairs.select(p.alias("u"), t.alias("v"))).groupBy("node").agg(F.min("root").alias("_root")))
+    placed = pin(pairs.withColumn("node", p).join(roots, "node").drop("node"))
+    sizes = placed.groupBy(*keys, "_root").agg((F.count("*") > limit).alias("_giant"))
+    marked = placed.join(sizes, [*keys, "_root"])
+    small = _match_in_rows(marked.filter(~F.col("_giant")).drop("_giant"), [*keys, "_root"]).drop("_root")
+    giants = marked.filter("_giant").select(*pairs.columns)
+    unpin(roots)
+    return small if giants.isEmpty() else small.union(_match_in_rounds(giants, keys))
+
+
 def _match_in_rounds(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Large groups: a prediction is settled on its best free target once fewer
     open predictions come before it there than the target has places."""
@@ -616,13 +731,18 @@ def results_table(df: DataFrame, image: str = "image_id", class_id: str = "class
     )
 
 
-def images_with_boxes(
+def images_with_boxes(images: DataFrame, annotations: DataFrame, image: str = "image_id") -> DataFrame:
+    """A row per image and box, and one with NULL fields for an image without boxes."""
+    return images.join(annotations, image, "left")
+
+
+def image_box_lists(
     images: DataFrame, annotations: DataFrame, image: str = "image_id", order_by: str = "box_id", part_size: int = 10_000
 ) -> DataFrame:
-    """Each image with its boxes as a list, empty for none.
+    """Images with their boxes as lists of up to ``part_size``, keyed by (image, part).
 
-    A list longer than ``part_size`` continues in further rows (``part``), so an
-    image with very many boxes is never built in one task.
+    Part 0 is there for every image and may be empty; very many boxes take further parts, so
+    no list outgrows a task. ``parts`` says how many there are.
     """
     numbered = with_ordinal(annotations, [order_by], [image], "_n")
     fields = [c for c in annotations.columns if c != image]
@@ -632,6 +752,9 @@ def images_with_boxes(
         .agg(F.sort_array(F.collect_list(F.struct("_n", *fields))).alias("_list"))
         .select(image, "part", F.transform("_list", lambda b: F.struct(*[b[c].alias(c) for c in fields])).alias("boxes"))
     )
-    kept = images.join(parts, image, "left")
+    counts = annotations.groupBy(image).agg(F.ceil(F.count("*") / part_size).alias("parts"))
+    kept = images.join(parts, image, "left").join(counts, image, "left")
     empty = F.slice(F.array(F.struct(*[F.lit(None).cast(annotations.schema[c].dataType).alias(c) for c in fields])), 1, 0)
-    return kept.withColumns({"part": F.coalesce("part", F.lit(0)), "boxes": F.coalesce("boxes", empty)})
+    return kept.withColumns({
+        "part": F.coalesce("part", F.lit(0)), "boxes": F.coalesce("boxes", empty), "parts": F.coalesce("parts", F.lit(1)),
+    })

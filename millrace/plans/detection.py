@@ -8,6 +8,8 @@ from millrace.functions import boxes as bx
 from millrace.operators import detection as det
 from millrace.plans.sales import _round
 from millrace.registry import query
+from millrace.session import new_path
+from millrace.sources import writers
 from millrace.tables import BOXES_SQL, boxes, table
 
 # Overlap of two SQL box expressions with fields x1, y1, x2, y2.
@@ -102,15 +104,33 @@ def resolution_counts(spark, sf_dir):
     return boxes(spark, sf_dir).groupBy(*size).agg(F.count("*").alias("n"))
 
 
-@query("images_with_boxes", "JN-04 SNK-17", f"""WITH {BOXES_SQL}
-SELECT o_orderkey AS image_id, count(box_id) AS n_boxes, string_agg(box_id, ',' ORDER BY box_id) AS ids
-FROM orders LEFT JOIN boxes ON o_orderkey = image_id AND class_id < 10 GROUP BY 1""")
+# Some images lose their boxes, so that images without any are there.
+_BOXLESS = "image_id % 10 > 0"
+
+
+@query("images_with_boxes", "JN-04", f"""WITH {BOXES_SQL}
+SELECT o_orderkey AS image_id, box_id, class_id, score FROM orders LEFT JOIN boxes ON o_orderkey = image_id AND {_BOXLESS}""")
 def images_with_boxes(spark, sf_dir):
     images = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image_id"))
-    found = boxes(spark, sf_dir).filter("class_id < 10").select("image_id", "box_id", "score")
-    out = det.images_with_boxes(images, found)
+    found = boxes(spark, sf_dir).filter(_BOXLESS).select("image_id", "box_id", "class_id", "score")
+    return det.images_with_boxes(images, found)
+
+
+@query("image_box_json", "JN-04 SNK-17", f"""WITH {BOXES_SQL},
+n AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY box_id) - 1 AS rn FROM boxes WHERE {_BOXLESS}),
+p AS (SELECT image_id, rn // 5 AS part, count(*) AS n_boxes, string_agg(box_id, ',' ORDER BY box_id) AS ids FROM n GROUP BY 1, 2)
+SELECT o_orderkey AS image_id, coalesce(part, 0) AS part, coalesce(n_boxes, 0) AS n_boxes, ids,
+  coalesce(max(part) OVER (PARTITION BY o_orderkey), 0) + 1 AS parts FROM orders LEFT JOIN p ON o_orderkey = image_id""")
+def image_box_json(spark, sf_dir):
+    """Nested records per image, written as JSON and read again."""
+    images = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image_id"))
+    found = boxes(spark, sf_dir).filter(_BOXLESS).select("image_id", "box_id", "class_id", "score")
+    path = new_path(spark, "images")
+    nested = det.image_box_lists(images, found, part_size=5)
+    writers.write_json(nested, path)
+    out = spark.read.schema(nested.schema).json(path)
     ids = F.array_join(F.transform("boxes", lambda b: b["box_id"]), ",")
-    return out.select("image_id", F.size("boxes").cast("long").alias("n_boxes"), F.nullif(ids, F.lit("")).alias("ids"))
+    return out.select("image_id", "part", F.size("boxes").cast("long").alias("n_boxes"), F.nullif(ids, F.lit("")).alias("ids"), "parts")
 
 
 # Greedy choices in SQL: one recursion step per box of an image, in order.
