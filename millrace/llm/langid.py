@@ -270,11 +270,8 @@ def identify(
     columns of the input stay and only ``__rejected`` is added; else returns doc_id,
     lang_pred, score, cross_entropy, rejected.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-
     def judge(texts: list) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-        m = shared.value
+        m = model
         cleaned = list(map(clean, texts))
         known = np.array([bool(t) and bool(m.languages) for t in cleaned], dtype=bool)
         names = [UNKNOWN] * len(texts)
