@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,8 +38,8 @@ def get_session(app: str = "millrace", master: str | None = None, **conf: str) -
 def work_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. Without that setting only a
+    single-process session, whose tasks share its disk, gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -44,18 +47,20 @@ def work_root(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(root)
         return root.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared work folder."""
-    return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared work folder; what is written there goes when the process ends."""
+    path = f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _PINNED.add(path)
+    return path
 
 
-# Pinned tables of this process that are still there.
+# Intermediate tables of this process that are still there.
 _PINNED: set[str] = set()
 
 
@@ -69,7 +74,6 @@ def pin(df: DataFrame) -> DataFrame:
     """
     path = new_path(df.sparkSession, "pinned")
     df.write.parquet(path)
-    _PINNED.add(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._pinned_path = path
     return out
@@ -89,6 +93,21 @@ def unpin(*frames: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Delete on leaving whatever was pinned inside; results must be written or read by then.
+
+    For sessions that live long: without it, intermediate tables stay until the process ends.
+    """
+    before = set(_PINNED)
+    try:
+        yield
+    finally:
+        spark = SparkSession.getActiveSession()
+        for path in _PINNED - before if spark is not None else ():
+            _delete(spark, path)
+
+
 @atexit.register
 def _unpin_all() -> None:
     try:
