@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import words
 from millrace.operators.ordered import first_rows
+from millrace.session import pin
 
 # Fixed value: a token is two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -81,7 +82,8 @@ def tfidf(
     With ``by`` each group of documents gets a vocabulary and weights of its own.
     """
     by = list(by)
-    counts = term_counts(df, doc_id, text, ngram_range, stop_words, by)
+    # Written once, as both the vocabulary and the weights read it; n-grams are built one time.
+    counts = pin(term_counts(df, doc_id, text, ngram_range, stop_words, by))
     vocab = vocabulary(counts, df, max_features, min_df, max_df, by)
     # Overall, the vocabulary is bounded by max_features; per group, by groups too.
     side = F.broadcast(vocab) if not by and max_features <= 100_000 else vocab
