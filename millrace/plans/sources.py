@@ -190,10 +190,11 @@ def ohlcv_series(spark, sf_dir):
 
 @query("coco_boxes", "SRC-17 JN-04", f"""WITH {BOXES_SQL}
 SELECT o_orderkey AS image_id, count(box_id) AS n, round(coalesce(sum(x2), 0), 2) AS sum_x2, max(class_id)::DOUBLE AS top_class
-FROM orders LEFT JOIN boxes ON o_orderkey = image_id AND class_id < 5 GROUP BY 1""")
+FROM orders LEFT JOIN boxes ON o_orderkey = image_id AND image_id % 10 > 0 GROUP BY 1""")
 def coco_boxes(spark, sf_dir):
     images = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    found = boxes(spark, sf_dir).filter("class_id < 5").select(
+    # Some images lose their boxes, so that images without any are there.
+    found = boxes(spark, sf_dir).filter("image_id % 10 > 0").select(
         "image_id", "box_id", F.col("class_id").cast("int").alias("category_id"), F.array(*bx.to_xywh(bx.corners())).alias("bbox")
     )
     path = new_path(spark, "coco")

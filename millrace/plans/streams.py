@@ -167,6 +167,22 @@ def stream_health(spark, sf_dir):
     return jobs.health(jobs.progress_rows(spark, done)).select("records", "healthy")
 
 
+@query("stream_lag", "ST-06 AGG-23", """
+WITH p AS (SELECT event_type AS query, count(*) AS records, round(count(*) / sum(value), 6) AS throughput, max(day(ts)) AS last_batch
+  FROM events GROUP BY 1),
+l AS (SELECT event_type AS query, count(*) AS lag FROM events WHERE ts > TIMESTAMP '2024-01-28' AND event_type <> 'signup' GROUP BY 1)
+SELECT query, records, throughput, last_batch, lag, coalesce(lag <= 130, true) AS healthy FROM p LEFT JOIN l USING (query)""")
+def stream_lag(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    progress = rows.groupBy(F.col("event_type").alias("query"), F.dayofmonth("ts").cast("long").alias("batch_id")).agg(
+        F.count("*").alias("records"), F.sum("value").alias("duration")
+    )
+    # What came in last is still to be read; nothing is known about one of the queries.
+    waiting = rows.filter((F.col("ts") > F.lit(datetime.datetime(2024, 1, 28))) & (F.col("event_type") != "signup"))
+    lag = waiting.groupBy(F.col("event_type").alias("query")).agg(F.count("*").alias("lag"))
+    return _round(jobs.health(progress, lag, max_lag=130), 6)
+
+
 @query("stream_rapid", "FR-02 ST-07", """
 WITH w AS (SELECT user_id, time_bucket(INTERVAL '2 hours', ts) - o * INTERVAL '2 hours' AS s FROM events, (SELECT unnest([0, 1, 2]) AS o))
 SELECT user_id, strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n FROM w GROUP BY user_id, s

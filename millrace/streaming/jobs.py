@@ -91,21 +91,20 @@ def summarise_batches(path: str, amount: str = "total_amount") -> Callable[[Data
 def split_late_batches(spark: SparkSession, path: str, ts: str, delay_seconds: int) -> Callable[[DataFrame, int], None]:
     """Write rows older than the newest earlier event minus the delay as late.
 
-    The newest event of each batch is kept beside the output, so a repeated
-    batch sees the same marks.
+    The newest event so far is kept beside the output of each batch, so a batch reads one
+    mark however long the stream runs, and a repeated batch sees the same one.
     """
     marks = f"{path}/_marks_by_batch"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         mark = None
         if batch_id > 0:
-            seen = spark.read.option("basePath", marks).parquet(f"{marks}/batch_id=*")
-            mark = seen.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+            mark = spark.read.parquet(_batch_path(marks, batch_id - 1)).agg(F.max("newest")).first()[0]
         late = F.lit(False) if mark is None else F.col(ts).cast("timestamp") < F.lit(mark) - F.expr(f"INTERVAL {delay_seconds} SECONDS")
         batch.withColumn("late", F.coalesce(late, F.lit(False))).write.mode("overwrite").partitionBy("late").parquet(
             f"{path}/rows/batch_id={batch_id}"
         )
-        newest = batch.agg(F.max(F.col(ts).cast("timestamp")).alias("newest"))
+        newest = batch.agg(F.greatest(F.max(F.col(ts).cast("timestamp")), F.lit(mark).cast("timestamp")).alias("newest"))
         newest.write.mode("overwrite").parquet(_batch_path(marks, batch_id))
 
     return write
