@@ -56,18 +56,24 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -
     return df
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence | None = None, max_values: int = 1_000) -> DataFrame:
-    """A 0/1 column ``<column>_<value>`` per value."""
-    if values is None:
-        found = df.select(column).distinct().orderBy(column).limit(max_values + 1).collect()
-        if len(found) > max_values:
-            raise ValueError(f"{column} has more than {max_values} values; use label_encode")
-        values = [r[0] for r in found if r[0] is not None]
+def one_hot(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """A 0/1 column ``<column>_<value>`` per given value; for values not known before see ``one_hot_vector``."""
     return df.withColumns(
         {f"{column}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)) for v in values}
     )
 
 
+def one_hot_vector(df: DataFrame, column: str, name: str = "one_hot") -> DataFrame:
+    """One sparse 0/1 vector as a struct of ``size`` and ``index``, for any number of values.
+
+    The index is the value's place in ascending order; NULL has none.
+    """
+    codes = label_encode(df.filter(F.col(column).isNotNull()).select(column).distinct(), [column])
+    size = codes.agg(F.count("*")).scalar()
+    coded = df.join(codes.select(column, F.col(f"{column}_code").alias("_index")), column, "left")
+    return coded.withColumn(name, F.struct(size.alias("size"), F.col("_index").alias("index"))).drop("_index")
+
+
 # --- scaling --------------------------------------------------------------------
 
 

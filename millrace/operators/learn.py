@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,10 +26,6 @@ from millrace.operators.features import folds
 from millrace.operators.terms import TOKEN
 
 
-# Largest matrix that is sent to every task.
-MAX_SHARED_BYTES = 256 * 1024 * 1024
-
-
 # --- text features ------------------------------------------------------------
 
 
@@ -67,32 +66,39 @@ def fit_text_features(
 
 def fit_word2vec(
     train: DataFrame, tokens: str, output: str = "features", size: int = 100, window: int = 5, min_count: int = 2,
-    iterations: int = 10, seed: int = 42,
+    iterations: int = 10, seed: int = 42, rows_per_task: int = 10_000,
 ):
-    """Word vectors; a document is the mean of its words' vectors, zeros for none."""
+    """Word vectors; a document is the mean of its words' vectors, zeros for none.
+
+    Every task trains on its own share of the documents, ``rows_per_task`` of them, and the
+    vectors are averaged after each iteration.
+    """
+    tasks = max(1, math.ceil(train.count() / rows_per_task))
     return Word2Vec(
         inputCol=tokens, outputCol=output, vectorSize=size, windowSize=window, minCount=min_count,
-        maxIter=iterations, seed=seed,
+        maxIter=iterations, seed=seed, numPartitions=tasks,
     ).fit(train)
 
 
 def truncated_svd(df: DataFrame, features: str, key: str, dimensions: int = 100) -> DataFrame:
-    """Rows projected on the leading singular directions (no centring)."""
-    from pyspark.mllib.linalg import Vectors as OldVectors
+    """Rows projected on the leading singular directions (no centring).
+
+    The directions are one matrix of features by dimensions, which MLlib gathers on the
+    driver by itself; rows are multiplied with it a batch at a time.
+    """
     from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
 
     width = df.select(features).first()[0].size
-    rows = df.select(features).rdd.map(lambda r: OldVectors.fromML(r[0]))
+    rows = MLUtils.convertVectorColumnsFromML(df.select(features), features)
     v = RowMatrix(rows).computeSVD(min(dimensions, width - 1)).V.toArray()
-    if v.nbytes > MAX_SHARED_BYTES:
-        raise ValueError("too many features to share with every task; lower max_features or dimensions")
-    shared = df.sparkSession.sparkContext.broadcast(v)
 
     @F.pandas_udf("array<double>")
     def project(batch):
         import numpy as np
+        import pandas as pd
 
-        return batch.map(lambda a: (np.asarray(a) @ shared.value).tolist())
+        return pd.Series(list(np.stack(batch.to_numpy()) @ v)) if len(batch) else pd.Series([], dtype=object)
 
     return df.select(key, array_to_vector(project(vector_to_array(features))).alias("reduced"))
 
@@ -120,29 +126,40 @@ def classifier(name: str, features: str = "features", label: str = "label", weig
         if width is None:
             raise ValueError("mlp needs the number of features (width)")
         return mc.MultilayerPerceptronClassifier(**{"layers": [width, 16, 2], "maxIter": 50, "seed": 42, **common})
-    raise ValueError(f"Model {name} not found")
+    raise ValueError(f"no classifier is called {name}")
 
 
-# Values searched per model.
+# Values searched per model. A strength of C is a penalty of 1 / C, and 30 is
+# the deepest tree there is.
 GRIDS = {
     "nb": {"smoothing": [0.1, 0.5, 1.0, 2.0]},
-    "lr": {"regParam": [0.1, 0.01, 0.001]},
-    "svc": {"regParam": [0.1, 0.01, 0.001]},
-    "rf": {"numTrees": [50, 100], "maxDepth": [5, 10]},
-    "gbt": {"maxIter": [10, 20], "stepSize": [0.05, 0.1, 0.2]},
+    "lr": {"regParam": [10.0, 1.0, 0.1]},
+    "svc": {"regParam": [10.0, 1.0, 0.1]},
+    "rf": {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30]},
+    "gbt": {"maxIter": [50, 100], "stepSize": [0.05, 0.1, 0.2]},
 }
 
 
+def random_settings(grid: dict[str, Sequence], n: int, seed: int = 42) -> list[dict]:
+    """``n`` different settings drawn from a grid, the same ones for a seed."""
+    names = sorted(grid)
+    every = [dict(zip(names, values)) for values in itertools.product(*(grid[name] for name in names))]
+    return random.Random(seed).sample(every, min(n, len(every)))
+
+
 def cross_validate(
     train: DataFrame, estimator, key: Sequence[str] | str, grid: dict[str, Sequence] | None = None, k: int = 5,
-    metric: str = "accuracy", label: str = "label", parallelism: int = 2,
+    metric: str = "accuracy", label: str = "label", parallelism: int = 2, settings: Sequence[dict] | None = None,
 ):
-    """Fitted cross-validator; folds follow from the key."""
+    """Fitted cross-validator over a grid, or over given ``settings``; folds follow from the key."""
     builder = ParamGridBuilder()
     for param, values in (grid or {}).items():
         builder = builder.addGrid(estimator.getParam(param), list(values))
+    maps = builder.build()
+    if settings is not None:
+        maps = [{estimator.getParam(name): value for name, value in s.items()} for s in settings]
     cv = CrossValidator(
-        estimator=estimator, estimatorParamMaps=builder.build(), numFolds=k, foldCol="fold", parallelism=parallelism,
+        estimator=estimator, estimatorParamMaps=maps, numFolds=k, foldCol="fold", parallelism=parallelism,
         evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName=metric),
     )
     return cv.fit(folds(train, key, k))
@@ -203,14 +220,16 @@ def feature_importance(spark, model, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def recursive_elimination(df: DataFrame, features: Sequence[str], label: str, k: int, drop_share: float = 0.5) -> list[str]:
-    """Drop the least important features and refit until ``k`` are left."""
+def recursive_elimination(
+    df: DataFrame, features: Sequence[str], label: str, k: int, step: int = 1, trees: int = 100
+) -> list[str]:
+    """Drop the ``step`` least important features and refit until ``k`` are left."""
     left = list(features)
     while len(left) > k:
         vector = VectorAssembler(inputCols=left, outputCol="features")
-        fitted = classifier("rf", label=label, numTrees=20).fit(vector.transform(df))
+        fitted = classifier("rf", label=label, numTrees=trees).fit(vector.transform(df))
         ranked = sorted(zip(fitted.featureImportances.toArray(), left), key=lambda p: (-p[0], p[1]))
-        size = max(k, len(left) - max(1, int(len(left) * drop_share)))
+        size = max(k, len(left) - step)
         keep = {n for _, n in ranked[:size]}
         left = [n for n in left if n in keep]
     return left
@@ -225,6 +244,12 @@ def kmeans_anchors(df: DataFrame, width: str, height: str, k: int = 9, seed: int
 
 
 def fit_calibration(scored: DataFrame, score_column: str = "score", label: str = "label"):
-    """Monotone map from score to probability."""
-    iso = IsotonicRegression(featuresCol=score_column, labelCol=label, predictionCol="calibrated")
-    return iso.fit(scored.withColumn(label, F.col(label).cast("double")))
+    """Monotone map from score to probability.
+
+    Rows are counted per score first, as MLlib gathers what it pools on the driver.
+    """
+    counted = scored.groupBy(score_column).agg(
+        F.avg(F.col(label).cast("double")).alias(label), F.count("*").cast("double").alias("_weight")
+    )
+    iso = IsotonicRegression(featuresCol=score_column, labelCol=label, predictionCol="calibrated", weightCol="_weight")
+    return iso.fit(counted)

@@ -40,7 +40,15 @@ def label_encode(spark, sf_dir):
 @query("one_hot", "ML-02", """
 SELECT doc_id, (lang = 'de')::INT AS lang_de, (lang = 'en')::INT AS lang_en, (lang = 'es')::INT AS lang_es, (lang = 'fr')::INT AS lang_fr FROM documents""")
 def one_hot(spark, sf_dir):
-    return ft.one_hot(table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang").drop("lang")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return ft.one_hot(docs, "lang", ["de", "en", "es", "fr"]).drop("lang")
+
+
+@query("one_hot_vector", "ML-02", """
+SELECT p_partkey, (SELECT count(DISTINCT p_name) FROM part) AS size, dense_rank() OVER (ORDER BY p_name) - 1 AS index FROM part""")
+def one_hot_vector(spark, sf_dir):
+    out = ft.one_hot_vector(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name")
+    return out.select("p_partkey", "one_hot.size", "one_hot.index")
 
 
 @query("scale_standard", "ML-03", """
@@ -84,20 +92,26 @@ _F_SQL = """
 SELECT '{c}' AS feature, round((sum(n * m * m) - sum(n) * pow(sum(n * m) / sum(n), 2)) / (count(*) - 1)
   / (sum(n * v) / (sum(n) - count(*))), 4) AS f_value
 FROM (SELECT quality, count(*) AS n, avg({e}) AS m, var_pop({e}) AS v FROM documents JOIN labels USING (doc_id) GROUP BY 1)"""
+_WORDS_SQL = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))"
 _F_EXPR = {
-    "length": "length(text)", "num_dots": r"len(regexp_extract_all(text, '\.'))",
-    "num_question": r"len(regexp_extract_all(text, '\?'))",
+    "length": "length(text)", "num_words": _WORDS_SQL,
+    **{n: f"len(regexp_extract_all(text, '{p}'))" for n, p in (
+        ("num_capitals", r"\p{Lu}"), ("num_exclamation", "!"), ("num_question", r"\?"), ("num_dots", r"\."))},
+    "capital_ratio": r"len(regexp_extract_all(text, '\p{Lu}')) / (length(text) + 1)",
+    "special_char_ratio": r"len(regexp_extract_all(text, '[^a-zA-Z0-9\s]')) / (length(text) + 1)",
 }
+_ALL_F_SQL = "\nUNION ALL\n".join(_F_SQL.format(c=c, e=e) for c, e in _F_EXPR.items())
 
 
-@query("anova_f", "ML-10", "\nUNION ALL\n".join(_F_SQL.format(c=c, e=e) for c, e in _F_EXPR.items()))
+@query("anova_f", "ML-10", _ALL_F_SQL)
 def anova_f(spark, sf_dir):
-    return _round(ft.anova_f(_surface(spark, sf_dir), list(_F_EXPR), "quality"))
+    return _round(ft.anova_f(_surface(spark, sf_dir), _SURFACE, "quality"))
 
 
-@query("select_k_best", "ML-10 SRT-03")
+@query("select_k_best", "ML-10 SRT-03", f"""SELECT * FROM ({_ALL_F_SQL}) 
+ORDER BY CASE WHEN NOT isnan(f_value) THEN f_value END DESC NULLS LAST, feature LIMIT 3""")
 def select_k_best(spark, sf_dir):
-    return ft.select_k_best(_surface(spark, sf_dir), _SURFACE, "quality", 3)
+    return _round(ft.select_k_best(_surface(spark, sf_dir), _SURFACE, "quality", 3))
 
 
 @query("recursive_elimination", "ML-10")
@@ -206,7 +220,7 @@ def misclassified_sample(spark, sf_dir):
 
 def _train_test(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    dense = {n: c.cast("double") for n, c in tx.surface_features("text").items() if n.endswith("ratio")}
+    dense = {n: c.cast("double") for n, c in tx.surface_features("text").items()}
     rows = docs.select("doc_id", "text", F.col("toxic").cast("double").alias("label"), *[c.alias(n) for n, c in dense.items()])
     split = ft.stratified_split(rows, "label", "doc_id", {"train": 0.8, "test": 0.2})
     train = ft.class_weights(split.filter("split = 'train'").drop("split"), "label")
@@ -215,7 +229,7 @@ def _train_test(spark, sf_dir):
 
 def _text_model(train):
     return learn.fit_text_features(
-        train, ngram_range=(1, 2), max_features=1000, stop_words=STOP_WORDS, dense=["capital_ratio", "special_char_ratio"]
+        train, ngram_range=(1, 3), max_features=5000, stop_words=STOP_WORDS, dense=_SURFACE
     )
 
 
@@ -235,19 +249,28 @@ def _register_classifier(name, **params):
 _register_classifier("nb")
 _register_classifier("lr")
 _register_classifier("svc")
-_register_classifier("rf", numTrees=20)
-_register_classifier("gbt", maxIter=5)
-_register_classifier("mlp", maxIter=20)
+_register_classifier("rf")
+_register_classifier("gbt")
+_register_classifier("mlp")
 
 
 @query("cv_scores", "ML-06")
 def cv_scores(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
     ready = pin(_text_model(train).transform(train).select("doc_id", "label", "features"))
-    fitted = learn.cross_validate(ready, learn.classifier("nb"), "doc_id", learn.GRIDS["nb"], k=3, metric="f1")
+    fitted = learn.cross_validate(ready, learn.classifier("nb"), "doc_id", learn.GRIDS["nb"], k=5, metric="f1")
     return learn.cv_table(spark, fitted, "nb")
 
 
+@query("random_search", "ML-06")
+def random_search(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    ready = pin(_text_model(train).transform(train).select("doc_id", "label", "features"))
+    settings = learn.random_settings(learn.GRIDS["lr"] | {"elasticNetParam": [0.0, 0.5]}, 3, seed=7)
+    fitted = learn.cross_validate(ready, learn.classifier("lr"), "doc_id", k=5, metric="f1", settings=settings)
+    return learn.cv_table(spark, fitted, "lr")
+
+
 @query("ensemble_vote", "ML-07 ML-11")
 def ensemble_vote(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
@@ -255,9 +278,9 @@ def ensemble_vote(spark, sf_dir):
     ready = pin(features.transform(train).select("doc_id", "label", "weight", "features"))
     tests = features.transform(test)
     scored = [
-        learn.score(learn.classifier(n, weight="weight").fit(ready), tests, ["doc_id", "label"]) for n in ("nb", "lr")
+        learn.score(learn.classifier(n, weight="weight").fit(ready), tests, ["doc_id", "label"]) for n in ("nb", "lr", "rf")
     ]
-    return learn.soft_vote(scored, ["doc_id", "label"], [1.0, 2.0])
+    return learn.soft_vote(scored, ["doc_id", "label"], [1.0, 2.0, 1.0])
 
 
 @query("saved_model_scores", "ML-08 ML-11")
@@ -281,7 +304,7 @@ def saved_model_scores(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     rows = _surface(spark, sf_dir)
     ready = VectorAssembler(inputCols=_SURFACE, outputCol="features").transform(rows)
-    model = learn.classifier("rf", label="toxic", numTrees=20).fit(ready)
+    model = learn.classifier("rf", label="toxic").fit(ready)
     return learn.feature_importance(spark, model, _SURFACE)
 
 
@@ -291,16 +314,24 @@ def kmeans_anchors(spark, sf_dir):
     return learn.kmeans_anchors(rows, "w", "h")
 
 
-@query("calibration", "ML-13")
+# On distinct scores: the largest over starts up to a score of the smallest mean of a block from there to an end beyond it.
+@query("calibration", "ML-13", f"""WITH {_SCORED_SQL},
+d AS (SELECT score, sum(label)::DOUBLE AS s, count(*)::DOUBLE AS n FROM scored GROUP BY 1),
+k AS (SELECT score, row_number() OVER (ORDER BY score) AS i, sum(s) OVER (ORDER BY score) AS cs, sum(n) OVER (ORDER BY score) AS cn FROM d),
+b AS (SELECT a.i AS i, e.i AS j, (e.cs - coalesce(p.cs, 0)) / (e.cn - coalesce(p.cn, 0)) AS m
+  FROM k a JOIN k e ON e.i >= a.i LEFT JOIN k p ON p.i = a.i - 1),
+lo AS (SELECT i, j, min(m) OVER (PARTITION BY i ORDER BY j DESC) AS m FROM b),
+fit AS (SELECT k.score, max(lo.m) AS calibrated FROM k JOIN lo ON lo.j = k.i GROUP BY 1)
+SELECT doc_id, label, score, round(calibrated, 6) AS calibrated FROM scored JOIN fit USING (score)""")
 def calibration(spark, sf_dir):
     rows = _scored(spark, sf_dir)
-    return learn.fit_calibration(rows).transform(rows).select("doc_id", "label", "score", "calibrated")
+    return _round(learn.fit_calibration(rows).transform(rows).select("doc_id", "label", "score", "calibrated"), 6)
 
 
 @query("word2vec_documents", "TXT-07")
 def word2vec_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", terms.tokens("text", STOP_WORDS).alias("tokens"))
-    model = learn.fit_word2vec(docs, "tokens", size=20, iterations=1)
+    model = learn.fit_word2vec(docs, "tokens")
     return model.transform(docs).select("doc_id", vector_to_array("features").alias("vector"))
 
 
@@ -309,5 +340,5 @@ def svd_reduced(spark, sf_dir):
     from pyspark.ml.functions import array_to_vector
 
     rows = table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    out = learn.truncated_svd(rows, "features", "vec_id", 10)
+    out = learn.truncated_svd(rows, "features", "vec_id")
     return out.select("vec_id", vector_to_array("reduced").alias("reduced"))

@@ -141,7 +141,7 @@ def test_scaling_and_encoding(spark):
     assert z[0] == pytest.approx(0) and z[1] == pytest.approx(1)
     assert [r.v for r in features.minmax(df, ["v"]).orderBy("id").collect()] == [0.0, 0.5, 1.0]
     assert rows(features.label_encode(df, ["c"]).select("id", "c_code"), "id") == [(1, 1), (2, 0), (3, 2)]
-    assert rows(features.one_hot(df, "c").select("id", "c_a", "c_b"), "id") == [(1, 0, 1), (2, 1, 0), (3, 0, 0)]
+    assert rows(features.one_hot(df, "c", ["a", "b"]).select("id", "c_a", "c_b"), "id") == [(1, 0, 1), (2, 1, 0), (3, 0, 0)]
 
 
 def test_oversampling_balances_between_neighbours(spark):
