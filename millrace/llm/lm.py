@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,15 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import columns
-from millrace.session import pin
+from millrace.session import new_path
 
 ORDER = 3
 # An n-gram of two or more words is used from so many occurrences in the corpus.
 MIN_COUNT = 2
 BACKOFF = 0.4
 # Text bytes whose n-grams are exploded together, and about so many n-grams per hash bucket.
-BLOCK_BYTES = 8_000_000
-BUCKET_GRAMS = 2_000_000
+BLOCK_BYTES = 5_000_000
+BUCKET_GRAMS = 1_000_000
 # Distinct words whose hashes a worker remembers.
 CACHE_WORDS = 400_000
 KEY_BITS = 56
@@ -118,6 +119,18 @@ def token_blocks(docs: DataFrame) -> DataFrame:
     )
 
 
+def kept_by_block(blocks: DataFrame) -> DataFrame:
+    """Write the blocks as a table bucketed by block, so that they never move again."""
+    spark = blocks.sparkSession
+    name = f"token_blocks_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.bucketBy(parts, "block").option("path", new_path(spark, "blocks")).saveAsTable(name)
+    kept = spark.table(name)
+    kept.schema  # resolved; the name in the catalog is no longer needed, the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(buckets)) >> np.uint64(32)
 
@@ -192,7 +205,7 @@ def score_documents(
     n_full (words scored at the highest order).
     """
     rows = columns(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    blocks = pin(token_blocks(rows))
+    blocks = kept_by_block(token_blocks(rows))
     total = int(blocks.agg(F.sum("n_tokens")).first()[0] or 0)
     buckets = max(8, math.ceil(total * order / 2 / BUCKET_GRAMS))
     totals = exploded(blocks, order, buckets).groupBy("bucket").applyInPandas(
