@@ -19,8 +19,8 @@ SLICE, TIE, ORDINAL, BLOCK, HOME = "_slice", "_tie", "_ordinal", "_block", "_hom
 # Rows per block when a frame reaches back over earlier rows.
 BLOCK_ROWS = 100_000
 
-# Spark's default bound for limiting window groups ahead of a shuffle.
-GROUP_LIMIT_ROWS = 1_000
+# First rows per key that may meet in one task: so many from each map task.
+GROUP_LIMIT_ROWS = 100
 
 Order = str | Column
 
@@ -213,11 +213,12 @@ def first_rows(
 ) -> DataFrame:
     """The first ``n`` rows per key in the given order.
 
-    Up to ``GROUP_LIMIT_ROWS`` Spark itself limits each group before the shuffle,
-    so no key sends more than ``n`` rows per map task. Above, rows are numbered
-    over slices.
+    Up to ``GROUP_LIMIT_ROWS``, or the lower limit the session sets, Spark itself limits each
+    group before the shuffle, so no key sends more than ``n`` rows per map task. Above,
+    rows are numbered over slices.
     """
-    if n > GROUP_LIMIT_ROWS:
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", str(GROUP_LIMIT_ROWS)))
+    if n > min(limit, GROUP_LIMIT_ROWS):
         return with_ordinal(df, order_by, partition_by).filter(F.col(ORDINAL) <= n).drop(ORDINAL)
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
