@@ -186,7 +186,19 @@ def pr_points(spark, sf_dir):
     return _round(ev.precision_recall_points(_scored(spark, sf_dir)), 6)
 
 
-@query("compare_models", "EV-04 EV-06", f"""WITH {_SCORED_SQL},
+@query("model_ranking", "EV-04", f"""WITH {_SCORED_SQL},
+m AS (SELECT 'half' AS model, label, (score > 0.5)::INT AS prediction FROM scored
+  UNION ALL SELECT 'most', label, (score > 0.8)::INT FROM scored)
+SELECT model, round(avg((label = prediction)::INT), 6) AS accuracy, row_number() OVER (ORDER BY avg((label = prediction)::INT) DESC, model) AS place
+FROM m GROUP BY 1""")
+def model_ranking(spark, sf_dir):
+    rows = _scored(spark, sf_dir)
+    parts = [rows.select(F.lit(n).alias("model"), "label", (F.col("score") > t).cast("int").alias("prediction")) for n, t in (("half", 0.5), ("most", 0.8))]
+    ranked = ev.compare_models(parts[0].union(parts[1]), "model").select("model", F.round("accuracy", 6).alias("accuracy")).collect()
+    return spark.createDataFrame([(r.model, r.accuracy, i) for i, r in enumerate(ranked, 1)], "model string, accuracy double, place long")
+
+
+@query("compare_models", "EV-06", f"""WITH {_SCORED_SQL},
 m AS (SELECT 'half' AS model, label, (score > 0.5)::INT AS prediction FROM scored
   UNION ALL SELECT 'most', label, (score > 0.8)::INT FROM scored),
 c AS (SELECT model, avg((label = prediction)::INT) AS accuracy,

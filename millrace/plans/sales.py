@@ -85,7 +85,7 @@ def pivot_sales(spark, sf_dir):
     return _round(out, 2)
 
 
-@query("customer_ltv", "AGG-27 SNK-15", f"""
+@query("customer_ltv", "AGG-27", f"""
 WITH {FACT_SALES_SQL}
 SELECT customer_id, round(sum(total_amount), 2) AS lifetime_value, count(*) AS purchases,
        CAST(min(transaction_date) AS VARCHAR) AS first_purchase,

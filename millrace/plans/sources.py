@@ -88,7 +88,20 @@ def incremental_read(spark, sf_dir):
     return tables.read_incremental(orders, "o_orderdate", datetime.datetime(1999, 6, 30)).select("o_orderkey", "o_custkey")
 
 
-@query("parameter_query", "SRC-09 SRC-08", """
+@query("catalog_scan", "SRC-08 SNK-15", """
+SELECT s_nationkey, count(*) AS suppliers, round(sum(s_acctbal), 2) AS balance FROM supplier GROUP BY 1""")
+def catalog_scan(spark, sf_dir):
+    supplier = table(spark, sf_dir, "supplier")
+    summary = supplier.groupBy("s_nationkey").agg(
+        F.count("*").alias("suppliers"), F.round(F.sum("s_acctbal"), 2).alias("balance"), F.max("s_suppkey").alias("newest")
+    )
+    # An outdated result, then the refreshed one under the same name.
+    for rows in (summary.limit(0), summary):
+        writers.refresh_table(rows, "millrace_supplier_summary", new_path(spark, "summary"))
+    return tables.scan_table(spark, "millrace_supplier_summary", columns=["s_nationkey", "suppliers", "balance"])
+
+
+@query("parameter_query", "SRC-09", """
 SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 1000 GROUP BY 1""")
 def parameter_query(spark, sf_dir):
     return tables.run_query(
