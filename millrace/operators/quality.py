@@ -95,6 +95,20 @@ class CustomRule:
     function: Callable[[DataFrame], Column | bool | dict | DataFrame]
 
 
+@dataclass(frozen=True)
+class GroupRule:
+    """Caller's check of every group: an aggregate Column that must be true.
+
+    Aggregates are formed before the shuffle, so no group has to fit into a task. A group for
+    which the check is NULL violates the rule.
+    """
+
+    name: str
+    columns: Sequence[str]
+    holds: Column
+    max_violations: int = 0
+
+
 @dataclass(frozen=True)
 class SchemaRule:
     """Columns and types the table must have."""
@@ -103,7 +117,7 @@ class SchemaRule:
     expected: dict[str, str] = field(default_factory=dict)
 
 
-Rule = NullRule | DuplicateRule | RangeRule | PatternRule | ReferenceRule | PredicateRule | CustomRule | SchemaRule
+Rule = NullRule | DuplicateRule | RangeRule | PatternRule | ReferenceRule | PredicateRule | CustomRule | GroupRule | SchemaRule
 
 
 def rules_from_config(config: Sequence[dict]) -> list[Rule]:
@@ -237,6 +251,15 @@ def _duplicates(df: DataFrame, rules: Sequence[DuplicateRule]) -> DataFrame:
     return totals.select(F.explode(F.array(*results)).alias("r")).select("r.*")
 
 
+def _groups(df: DataFrame, r: GroupRule) -> DataFrame:
+    checked = df.groupBy(*r.columns).agg(F.coalesce(r.holds, F.lit(False)).alias("_holds"))
+    n, total = F.count_if(~F.col("_holds")), F.count("*")
+    message = F.concat(n.cast("string"), F.lit(" groups break the rule"))
+    return checked.agg(
+        _struct(r.name, "group_check", n <= r.max_violations, n, total, _pct(n, total), message).alias("r")
+    ).select("r.*")
+
+
 def _reference_frame(df: DataFrame, r: ReferenceRule) -> DataFrame:
     """The reference values as a one-column table."""
     if isinstance(r.reference, DataFrame):
@@ -315,6 +338,8 @@ def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             fused.add_count(r.name, r.rule_type, r.violates, "rows break the rule", r.max_violations, of_caller=True)
         elif isinstance(r, DuplicateRule):
             same_key.setdefault(tuple(r.columns or df.columns), []).append(r)
+        elif isinstance(r, GroupRule):
+            frames.append(_groups(df, r))
         elif isinstance(r, ReferenceRule):
             frames.append(_reference(df, r))
         elif isinstance(r, SchemaRule):

@@ -299,3 +299,13 @@ UNION ALL SELECT 'pass  positive_quantity [business_rule] ' || count(*) FILTER (
 def dq_text_report(spark, sf_dir):
     results = dq.require_passed(dq.check_rules(fact_sales(spark, sf_dir), dq.file_rules(["product_id"])))
     return spark.createDataFrame([(line,) for line in dq.text_report(results).split("\n")], "line string")
+
+
+@query("dq_groups", "UDF-05 DQ-07", f"""
+{_result("order_value", "group_check", "v = 0", "v", "t", "v * 100.0 / t", "v || ' groups break the rule'")}
+FROM (SELECT count(*) FILTER (WHERE NOT ok) AS v, count(*) AS t
+      FROM (SELECT sum(l_extendedprice) >= 1000 AND max(l_linenumber) <= 7 AS ok FROM lineitem GROUP BY l_orderkey))""")
+def dq_groups(spark, sf_dir):
+    holds = (F.sum("l_extendedprice") >= 1000) & (F.max("l_linenumber") <= 7)
+    rules = [dq.GroupRule("order_value", ["l_orderkey"], holds)]
+    return _round(dq.check_rules(table(spark, sf_dir, "lineitem"), rules), 6)

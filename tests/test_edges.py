@@ -110,12 +110,39 @@ def test_rules_on_odd_input(spark):
         quality.CustomRule("late", lambda d: d.where(1 / F.col("q") > 2)),
         quality.DuplicateRule("rows", ["k"]),
         quality.DuplicateRule("keys", ["k"], count="keys"),
+        quality.GroupRule("groups", ["k"], F.sum("q") > 1),
         quality.ReferenceRule("list", "q", [0, 1]),
     ]
     got = {r.rule_name: (r.passed, r.violations) for r in quality.check_rules(df, rules).collect()}
     assert got == {
         "absent": (True, 0), "inverse": (False, 0), "sound": (False, 1), "dict": (False, 2), "late": (False, 0),
-        "rows": (False, 2), "keys": (False, 1), "list": (False, 1),
+        "rows": (False, 2), "keys": (False, 1), "groups": (False, 1), "list": (False, 1),
     }
     assert rows(quality.duplicate_rows(df, ["k"])) == [(None, 0), (None, 1)]
     assert rows(quality.missing_references(df, rules[-1])) == [(2,)]
+
+
+def test_scratch_leaves_nothing(spark):
+    from pathlib import Path
+
+    from millrace.operators import ordered
+    from millrace.session import new_path, scratch, work_root
+
+    folder = Path(work_root(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()} if folder.exists() else set()
+    with scratch():
+        df = spark.range(50).withColumn("v", F.col("id") % 5)
+        assert ordered.cumulative(df, ["id"], "v", "s").agg(F.max("s")).first()[0] == 100
+        df.write.parquet(new_path(spark, "extra"))
+    assert not [p.name for p in folder.iterdir() if p.name not in before and p.name.startswith(("pinned", "extra"))]
+
+
+def test_random_settings_and_vectors(spark):
+    from millrace.operators import features, learn
+
+    grid = {"a": [1, 2, 3], "b": [0, 1]}
+    drawn = learn.random_settings(grid, 4, seed=3)
+    assert drawn == learn.random_settings(grid, 4, seed=3) and len({tuple(d.items()) for d in drawn}) == 4
+    assert len(learn.random_settings(grid, 99)) == 6
+    df = spark.createDataFrame([(1, "y"), (2, None), (3, "x")], "id int, c string")
+    assert [(r.id, r.v["size"], r.v["index"]) for r in features.one_hot_vector(df, "c", "v").orderBy("id").collect()] == [(1, 2, 1), (2, 2, None), (3, 2, 0)]
