@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,7 @@ END_ID = 1
 # Tokens a task holds before it packs them; the last sequence of such a window may stay short.
 WINDOW_TOKENS = 8_000_000
 # Distinct words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -40,10 +42,9 @@ class Encoder(dict):
     """Ids of a text as little-endian bytes, word by word.
 
     A space between two other visible characters always begins a token, so the parts
-    around it can be encoded apart and remembered.
+    around it can be encoded apart. What follows such a space is remembered.
     """
 
-    _LOOSE = re.compile(r"\s\s|^\s|\s$")
     _CUT = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, path: str):
@@ -56,17 +57,25 @@ class Encoder(dict):
             "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
 
+    def ids(self, text: str) -> bytes:
+        out = array("I", self.plain(text))
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def __missing__(self, part: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = np.array(self.plain(part), dtype="<u4").tobytes()
+        out = self.ids(f" {part}")
         if len(part) <= 64:
-            self[part] = ids
-        return ids
+            self[part] = out
+        return out
 
     def encode(self, text: str) -> bytes:
-        parts = self._CUT.split(text) if self._LOOSE.search(text) else text.split(" ")
-        return self[parts[0]] + b"".join([self[f" {part}"] for part in parts[1:]])
+        # As many words as single blanks and line ends allow: every blank stands between two visible characters.
+        tidy = len(text.split()) == text.count(" ") + text.count("\n") + 1
+        first, *rest = text.split(" ") if tidy else self._CUT.split(text)
+        return self.ids(first) + b"".join(map(self.__getitem__, rest))
 
 
 def attention_cost(length, capacity: int = CAPACITY):
@@ -172,13 +181,15 @@ def pack_documents(
     path = vocabulary or vocabulary_path()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = None
         end = np.array([end_id], dtype="<u4").tobytes()
         first = TaskContext.get().partitionId() << 36
         ids: list[bytes] = []
         names: list = []
         held = 0
         for batch in batches:
+            if encoder is None:
+                encoder = Encoder(path)
             for name, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
                 ids.append(encoder.encode(text or "") + end)
                 names.append(None if name is None or name != name else name)
