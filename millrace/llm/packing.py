@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -42,7 +44,8 @@ class Encoder(dict):
     """Ids of a text as little-endian bytes, word by word.
 
     A space between two other visible characters always begins a token, so the parts
-    around it can be encoded apart. What follows such a space is remembered.
+    around it can be encoded apart. What follows such a space is remembered. The added
+    tokens of the ``.json`` file beside the ranks are cut out of the text first, as ``tokenizers`` does.
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -56,6 +59,13 @@ class Encoder(dict):
         self.plain = tiktoken.Encoding(
             "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
+        self.added = {}
+        described = Path(path).with_suffix(".json")
+        if described.exists():
+            held = json.loads(described.read_text(encoding="utf-8"))["added_tokens"]
+            self.added = {token["content"]: token["id"] for token in held}
+        longest = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.cut_added = re.compile(f"({'|'.join(longest)})").split if longest else None
 
     def ids(self, text: str) -> bytes:
         out = array("I", self.plain(text))
@@ -72,6 +82,15 @@ class Encoder(dict):
         return out
 
     def encode(self, text: str) -> bytes:
+        if not any(map(text.__contains__, self.added)):
+            return self.encode_words(text)
+        # Ordinary text and added tokens take turns.
+        parts = self.cut_added(text)
+        parts[1::2] = [self.added[token].to_bytes(4, "little") for token in parts[1::2]]
+        parts[::2] = [self.encode_words(part) if part else b"" for part in parts[::2]]
+        return b"".join(parts)
+
+    def encode_words(self, text: str) -> bytes:
         # As many words as single blanks and line ends allow: every blank stands between two visible characters.
         tidy = len(text.split()) == text.count(" ") + text.count("\n") + 1
         first, *rest = text.split(" ") if tidy else self._CUT.split(text)

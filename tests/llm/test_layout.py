@@ -56,6 +56,15 @@ def test_pieces_hold_every_id(spark, tokenizer):
     assert packing.pack_documents(docs.where("false")).count() == 0
 
 
+def test_added_tokens_as_the_file_says(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x  y\n", "no\n<|endoftext|>\n\n  z", "<|ENDOFTEXT|> <|endoftext|"]
+    ids = {i: plain.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    assert ids[0] == [64, 220, 50256, 275, 1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_pieces(packing.pack_documents(docs).collect(), ids)
+
+
 def test_packing_query(spark, tokenizer):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     ids = {r.doc_id: tokenizer.encode(r.text, add_special_tokens=False).ids + [1] for r in docs}
