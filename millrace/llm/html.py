@@ -35,6 +35,11 @@ MARKS = frozenset(
     "recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe "
     "widget".split()
 )
+# Words before or after a mark that make it a state of the page.
+STATES = frozenset("with without has no".split())
+STATES_AFTER = frozenset("open closed".split())
+# Words of one block from which a form holds running text.
+LONG_TEXT = 30
 _WORD = re.compile(r"[a-z0-9]+")
 
 PAGE = (
@@ -43,21 +48,35 @@ PAGE = (
 ).format(row=ROW)
 
 
+def _marked(values: list[str]) -> bool:
+    """Whether a name in class, id or role marks what is no article; 'has-sidebar' or 'comments-open' say how a page is."""
+    for name in " ".join(values).split():
+        words = ["", *_WORD.findall(name), ""]
+        for before, word, after in zip(words, words[1:], words[2:]):
+            if word in MARKS and before not in STATES and after not in STATES_AFTER:
+                return True
+    return False
+
+
 class _Blocks(HTMLParser):
-    """Blocks of text in page order, each with whether it stands in an article or in boilerplate."""
+    """Blocks of text in page order, each with whether it stands in an article and what skips it."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # tag, skipped, article
+        self.open: list[tuple[str, int, bool, bool]] = []  # tag, number of the skip or 0, article or main, article
         self.depth: dict[str, int] = {}
-        self.skipped = self.articles = 0
-        self.out: list[tuple[str, bool, bool]] = []
+        self.articles = self.posts = 0
+        self.kinds = [""]  # of each skip: tag, form or mark
+        self.active: list[int] = []
+        self.free = False  # an article stands in no skip
+        self.hidden: list[tuple[int, ...]] = []  # the skips around every other article
+        self.out: list[tuple[str, bool, tuple[int, ...]]] = []
         self.parts: list[str] = []
 
     def close_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.out.append((text, self.articles > 0, self.skipped > 0))
+            self.out.append((text, self.articles > 0, tuple(self.active)))
         self.parts = []
 
     def handle_starttag(self, tag, attrs):
@@ -68,15 +87,31 @@ class _Blocks(HTMLParser):
         if tag == "body":  # ends a head that was left open
             self.handle_endtag("head")
         named = {name: value.lower() for name, value in attrs if value and name in ("class", "id", "role")}
-        marks = set(_WORD.findall(" ".join(named.values()))) if named else set()
-        article = tag in ("article", "main") or named.get("role") in ("main", "article")
-        skipped = tag in SKIPPED or not marks.isdisjoint(MARKS) or (tag == "header" and not self.articles)
-        if tag == "body" or tag == "html":
-            skipped = False
-        self.open.append((tag, skipped, article and not skipped))
+        post = tag == "article" or named.get("role") == "article"
+        article = post or tag == "main" or named.get("role") == "main"
+        kind = ""
+        if tag in ("body", "html"):
+            pass
+        elif tag in SKIPPED:
+            kind = "form" if tag == "form" else "tag"
+        elif tag == "header" and not self.articles:
+            kind = "tag"
+        # Marks say nothing of an article, but articles within one are its comments, adverts and the like.
+        elif named and not (article and not self.posts) and _marked(list(named.values())):
+            kind = "mark"
+        if article and not kind:
+            self.free |= not self.active
+            if self.active:
+                self.hidden.append(tuple(self.active))
+        skip = 0
+        if kind:
+            skip = len(self.kinds)
+            self.kinds.append(kind)
+            self.active.append(skip)
+        self.open.append((tag, skip, article, post))
         self.depth[tag] = self.depth.get(tag, 0) + 1
-        self.skipped += skipped
-        self.articles += article and not skipped
+        self.articles += article
+        self.posts += post
 
     def handle_endtag(self, tag):
         if tag in BLOCKS or tag in SKIPPED:
@@ -84,10 +119,12 @@ class _Blocks(HTMLParser):
         if not self.depth.get(tag):
             return
         while True:
-            name, skipped, article = self.open.pop()
+            name, skip, article, post = self.open.pop()
             self.depth[name] -= 1
-            self.skipped -= skipped
+            if skip:
+                self.active.remove(skip)
             self.articles -= article
+            self.posts -= post
             if name == tag:
                 return
 
@@ -99,13 +136,26 @@ class _Blocks(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def lifted(self) -> set[int]:
+        """Skips that do not hold: forms around an article or long text, and marks around the only articles."""
+        around = {skip for skips in self.hidden for skip in skips}
+        for text, _, skips in self.out:
+            if skips and len(text.split()) >= LONG_TEXT:
+                around.update(skip for skip in skips if all(self.kinds[s] == "form" for s in skips))
+        lifted = {skip for skip in around if self.kinds[skip] == "form"}
+        if not self.free and not any(lifted.issuperset(skips) for skips in self.hidden):
+            lifted.update(s for skips in self.hidden if all(self.kinds[s] != "tag" for s in skips) for s in skips)
+        return lifted
+
 
 def blocks_of(html: str) -> list[tuple[str, bool, bool]]:
+    """Blocks in page order, each with whether it stands in an article and whether it is skipped."""
     parser = _Blocks()
     parser.feed(html)
     parser.close()
     parser.close_block()
-    return parser.out
+    lifted = parser.lifted() if len(parser.kinds) > 1 else set()
+    return [(text, inside, not lifted.issuperset(skips)) for text, inside, skips in parser.out]
 
 
 def host_of(url: str | None) -> str:

@@ -265,6 +265,26 @@ def test_article_pages(spark):
     assert html.extract_text(pages.where("false")).count() == 0
 
 
+LONG = "this long running text tells of a river " * 5
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<main class='content has-sidebar'><p>Own words</p><div class='sidebar'>side</div></main>", "Own words"),
+    ("<main><article class='post comments-open'><p>Own words</p></article></main>", "Own words"),
+    ("<div class='page-with-menu'><div class='menu'>menu</div><article>Own words</article></div>", "Own words"),
+    ("<form id='aspnet'><nav>menu</nav><article>Own words<form>Send</form></article></form>", "Own words"),
+    ("<div class='widget'><article class='promo'>Own words<div class='share'>Share</div></article></div>", "Own words"),
+    ("<article>Own words<article class='comment'>Theirs</article></article><div id='comments'><article>Theirs</article></div>", "Own words"),
+    (f"<form><nav>menu</nav><p>{LONG}</p></form>", LONG.strip()),
+    ("<p>Own words</p><form>Name <input> Send</form><div class='cookie-banner'>We use cookies</div>", "Own words"),
+    ("<body class='no-sidebar'><footer><article>Theirs</article></footer><p>Own words</p>", "Own words"),
+])
+def test_marks_never_cost_the_article(page, want):
+    blocks = html.blocks_of(page)
+    article = any(inside and not skipped for _, inside, skipped in blocks)
+    assert " ".join(text for text, inside, skipped in blocks if not skipped and inside == article) == want
+
+
 def test_host_repeats_are_removed(spark):
     menu = "<div>" + " ".join(f"menu{i}" for i in range(12)) + "</div>"
     rows = [
