@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from html.parser import HTMLParser
 from itertools import groupby
 
@@ -17,6 +17,10 @@ from millrace.session import pin
 
 # Tokens from which a substring repeated across pages of a host counts as boilerplate.
 MIN_RUN = 8
+# Distinct pages of a host from which a repeated run of whole blocks is no article's, and how
+# many it takes where such runs make up most of a page, which may also be a copy of others.
+BLOCK_PAGES = 3
+COPIED_PAGES = 10
 
 # Elements without text of their own, or whose text is never an article's.
 SKIPPED = frozenset(
@@ -44,7 +48,7 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 PAGE = (
     "page_id long, url string, host string, {row} long, article boolean, blocks array<string>, "
-    "grams array<long>, stream long"
+    "grams array<long>, stream long, runs array<long>, body long"
 ).format(row=ROW)
 
 
@@ -171,17 +175,61 @@ def suffixes(tokens: list[str], length: int) -> list[int]:
     ]
 
 
+def block_runs(blocks: list[str], length: int) -> list[tuple[int, int, int]]:
+    """First block, end and key of the shortest runs of whole blocks of ``length`` tokens that begin or end at a block.
+
+    Of a longer run that pages share, every block lies in one of these.
+    """
+    sizes = [block.count(" ") + 1 for block in blocks]
+    found, end, held = set(), 0, 0
+    for first in range(len(blocks)):
+        while end < len(blocks) and held < length:
+            held += sizes[end]
+            end += 1
+        if held < length:
+            break
+        found.add((first, end))
+        held -= sizes[first]
+    first, held = len(blocks), 0
+    for end in range(len(blocks), 0, -1):
+        while first > 0 and held < length:
+            first -= 1
+            held += sizes[first]
+        if held < length:
+            break
+        found.add((first, end))
+        held -= sizes[end - 1]
+    return [(a, b, xxhash.xxh64_intdigest("\n".join(blocks[a:b]).encode()) - (1 << 63)) for a, b in sorted(found)]
+
+
+def repeated_blocks(blocks: list[str], common: set[int], frequent: set[int], length: int) -> set[int]:
+    """The places of the blocks that a run of whole blocks repeated over the host covers."""
+    sizes = [block.count(" ") + 1 for block in blocks]
+    runs = block_runs(blocks, length)
+    for gone in (common, frequent):
+        covered = {i for a, b, key in runs if key in gone for i in range(a, b)}
+        if 2 * sum(sizes[i] for i in covered) <= sum(sizes):
+            break
+    return covered
+
+
 def extract_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_run: int = MIN_RUN,
 ) -> DataFrame:
     """Main text of every page from its whole html.
 
-    Where the page marks an article (``article``, ``main``), its blocks are the text, except
-    for elements in it that are marked as menus, adverts, notices, forms, comments and the
-    like. Elsewhere the host decides: the token streams of its pages' remaining blocks form
-    one suffix array, kept as a table, each suffix cut to ``min_run`` tokens; equal suffixes of
-    pages with different streams show a repeated substring, and all tokens that such
-    substrings cover are removed. Page text inside articles never enters the comparison.
+    Markup and the host decide together. Where the page marks an article (``article``,
+    ``main``), its blocks are the candidates, except for elements in it that are marked as
+    menus, adverts, notices, forms, comments and the like; elsewhere all blocks that are not
+    skipped. On every page a run of whole candidate blocks of at least ``min_run`` tokens goes
+    when BLOCK_PAGES pages of the host with different texts hold it and either no other host
+    does or at least half of the host's pages do: unmarked share lines, related lists, a
+    sidebar in main. Where such runs make up more than half of a page, it may
+    be a version of other pages, and only those on COPIED_PAGES pages go. On pages without an
+    article, runs go by tokens besides: the token streams of the host's blocks outside
+    articles form one suffix array, kept as a table, each suffix cut to ``min_run`` tokens;
+    equal suffixes of pages with different streams show a repeated substring, and all
+    tokens that such substrings cover are removed.
     Suffixes are counted by key before they meet, so neither a large host nor a frequent
     run lands in one task. NULL html gives the empty text, a NULL url the host of no name;
     repeated rows give a row each; further columns are ignored; an empty table gives no
@@ -198,7 +246,9 @@ def extract_text(
                 tokens = [t for text, inside, _ in blocks if not inside for t in text.split()]
                 grams = sorted(set(suffixes(tokens, min_run)))
                 stream = xxhash.xxh64_intdigest(" ".join(tokens).encode()) - (1 << 63)
-                out.append((page, url, host_of(url), row, article, kept, grams, stream))
+                runs = sorted({key for _, _, key in block_runs(kept, min_run)})
+                body = xxhash.xxh64_intdigest("\n".join(kept).encode()) - (1 << 63)
+                out.append((page, url, host_of(url), row, article, kept, grams, stream, runs, body))
             done = pd.DataFrame(out, columns=[c.split()[0] for c in PAGE.split(", ")])
             done["page_id"] = done["page_id"].astype("Int64")
             yield done
@@ -217,25 +267,49 @@ def extract_text(
         .groupBy(ROW).agg(F.collect_set("gram").alias("covered"))
     )
 
+    # Pages of one text count once, so that copies are no evidence.
+    texts = parsed.groupBy("host", "body").agg(F.min(ROW).alias(ROW)).select(ROW)
+    per_host = (
+        parsed.select(ROW, "host", F.explode("runs").alias("run")).join(texts, ROW, "left_semi")
+        .groupBy("host", "run").agg(F.count("*").alias("pages"))
+    )
+    # What other hosts write too is language rather than a template, unless most pages of this host hold it.
+    hosts = per_host.groupBy("run").agg(F.count("*").alias("hosts"))
+    sizes = parsed.join(texts, ROW, "left_semi").groupBy("host").agg(F.count("*").alias("of"))
+    pages_of_run = (
+        per_host.where(F.col("pages") >= BLOCK_PAGES).join(hosts, "run").join(sizes, "host")
+        .where("hosts = 1 OR 2 * pages >= of").select("host", "run", "pages")
+    )
+    shared = (
+        parsed.select(ROW, "host", F.explode("runs").alias("run")).join(pages_of_run, ["host", "run"])
+        .groupBy(ROW).agg(
+            F.collect_set("run").alias("common"),
+            F.collect_set(F.when(F.col("pages") >= COPIED_PAGES, F.col("run"))).alias("frequent"),
+        )
+    )
+
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [unique_runs(b, c, min_run) for b, c in zip(batch["blocks"], batch["covered"])]
+            texts = []
+            for blocks, covered, common, frequent in zip(*[batch[c] for c in ("blocks", "covered", "common", "frequent")]):
+                blocks = list(blocks)
+                whole = repeated_blocks(blocks, set(common), set(frequent), min_run) if common is not None else set()
+                texts.append(unique_runs(blocks, covered, min_run, whole))
             yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts})
 
-    settled = parsed.where("article").select("page_id", "url", F.array_join("blocks", " ").alias("text"))
-    rest = open_pages.select("page_id", "url", "blocks", ROW).join(covered, ROW, "left").drop(ROW)
-    return settled.unionByName(rest.mapInPandas(join, "page_id long, url string, text string"))
+    found = parsed.select("page_id", "url", "blocks", ROW).join(covered, ROW, "left").join(shared, ROW, "left").drop(ROW)
+    return found.mapInPandas(join, "page_id long, url string, text string")
 
 
-def unique_runs(blocks, covered, length: int) -> str:
-    """The blocks without what repeated runs cover: whole blocks, or at least ``length`` tokens of one.
+def unique_runs(blocks, covered, length: int, whole: Collection[int] = ()) -> str:
+    """The blocks without those in ``whole`` and what repeated runs cover: whole blocks, or at least ``length`` tokens of one.
 
     A run that ends a few tokens into the next block leaves those where they are.
     """
     split = [block.split() for block in blocks]
     tokens = [t for block in split for t in block]
     if covered is None or not len(covered):
-        return " ".join(tokens)
+        return " ".join(block for i, block in enumerate(blocks) if i not in whole)
     gone, until, hidden = set(covered), 0, []
     keys = suffixes(tokens, length)
     for i in range(len(tokens)):
@@ -243,10 +317,10 @@ def unique_runs(blocks, covered, length: int) -> str:
             until = i + length
         hidden.append(i < until)
     kept, at = [], 0
-    for block in split:
+    for i, block in enumerate(split):
         for is_hidden, run in groupby(range(at, at + len(block)), key=hidden.__getitem__):
             places = list(run)
-            if not is_hidden or len(places) < min(length, len(block)):
+            if i not in whole and (not is_hidden or len(places) < min(length, len(block))):
                 kept += tokens[places[0]:places[-1] + 1]
         at += len(block)
     return " ".join(kept)

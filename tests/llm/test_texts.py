@@ -297,6 +297,45 @@ def test_host_repeats_are_removed(spark):
     assert got[999].startswith("menu0")
 
 
+def test_host_repeats_inside_articles(spark):
+    share = "<p>Share this story with your friends by mail or by letter</p>"
+    side = "<ul>" + "".join(f"<li>related {k}</li>" for k in range(9)) + "</ul>"
+    own = [f"Page {i} tells its very own story about number {i * 31} and {i * 7} and ends in the year {1900 + i}" for i in range(20)]
+    rows = [(i, "http://h.org/", f"<main><h1>T {i}</h1><p>{own[i]}</p>{share}<p>Quoted twice {own[i % 10]}</p>{side}</main>") for i in range(20)]
+    rows += [(50, "http://h.org/", f"<body><p>{own[0]} and more words</p>{share}")]
+    rows += [(100 + i, "http://copy.org/", f"<article><p>Version {i}</p><p>{own[5]}</p><p>{own[6]}</p></article>") for i in range(4)]
+    rows += [(200 + i, "http://twice.org/", f"<article><p>{own[i]}</p>{share}</article>") for i in range(2)]
+    rows += [(300, "http://same.org/", f"<article><p>{own[1]}</p>{share}</article>")] * 5
+    common = "a sentence of eight words that many hosts write"
+    rows += [
+        (400 + 20 * h + i, f"http://often{h}.org/", f"<article><p>{own[i]}</p><p>{common if i < 4 else 'rare'}</p></article>")
+        for h in range(2) for i in range(12)
+    ]
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[403] == f"{own[3]} {common}"
+    for i in range(20):
+        assert got[i] == f"T {i} {own[i]} Quoted twice {own[i % 10]}"
+    assert got[50] == f"{own[0]} and more words"
+    text = re.sub("<.*?>", "", share)
+    assert got[100] == f"Version 0 {own[5]} {own[6]}"
+    assert got[201] == f"{own[1]} {text}" and got[300] == f"{own[1]} {text}"
+
+
+@pytest.mark.parametrize("length", [1, 5, 8])
+def test_block_runs_cover_shared_runs(length):
+    import random
+
+    rnd = random.Random(length)
+    for _ in range(200):
+        shared = [" ".join(f"s{rnd.random()}" for _ in range(rnd.randrange(1, 6))) for _ in range(rnd.randrange(1, 7))]
+        pages = [[f"a{p}"] * rnd.randrange(3) + shared + [f"b{p}"] * rnd.randrange(3) for p in range(2)]
+        keys = {key for _, _, key in html.block_runs(pages[1], length)}
+        covered = {i for a, b, key in html.block_runs(pages[0], length) if key in keys for i in range(a, b)}
+        at = pages[0].index(shared[0])
+        long = sum(len(block.split()) for block in shared) >= length
+        assert covered == (set(range(at, at + len(shared))) if long else set())
+
+
 def test_page_query(spark):
     from html import unescape
 
