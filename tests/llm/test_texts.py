@@ -104,6 +104,28 @@ def test_licenses(spark):
     assert got == {r.doc_id: plain_license(r.text) for r in docs.collect()}
 
 
+def labels_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.labels for r in licenses.scan_licenses(docs, phrases={}).orderBy("doc_id").collect()]
+
+
+def test_license_texts_and_other_notices(spark):
+    from pathlib import Path
+
+    files = sorted((Path(licenses.__file__).parent / "license_texts").glob("*.txt"))
+    texts = [p.read_text() for p in files]
+    assert labels_of(spark, texts) == [p.stem for p in files]
+    joined = ["\n".join(" ".join(part.split()) for part in t.split("\n\n")) for t in texts]
+    assert labels_of(spark, joined) == [p.stem for p in files]
+    others = [
+        "Released under the BSD License", "Licensed under CC BY 4.0", "Licensed under CC BY-NC 3.0", "Licensed under the Apache License, Version 1.1",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+        "Licensed under the GNU Lesser General Public License, version 3", "Released under the MIT License",
+        "Licensed under the GNU General Public License, version 2", "Licensed under CC BY-NC 4.0",
+    ]
+    assert labels_of(spark, others) == ["", "", "", "", "", "", "mit", "gpl-2.0", "cc-by-nc-4.0"]
+
+
 def test_license_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op8_license_scan"].run(spark, SF).collect():
