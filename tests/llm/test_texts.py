@@ -126,6 +126,19 @@ def test_license_texts_and_other_notices(spark):
     assert labels_of(spark, others) == ["", "", "", "", "", "", "mit", "gpl-2.0", "cc-by-nc-4.0"]
 
 
+def test_wrapped_notices(spark):
+    import textwrap
+
+    texts, want = [], []
+    for label, notice in [*licenses.TEMPLATES.items(), *licenses.HEADERS]:
+        for mark in ("", "// ", " * ", "# "):
+            for width in (30, 72):
+                lines = textwrap.wrap(f"Copyright 2020 somebody. {notice}. And so on with more words here.", width)
+                texts.append("\n".join(mark + line for line in ["int x;", "", *lines, "", "int y;"]))
+                want.append(label)
+    assert [set(x.split(",")) for x in labels_of(spark, texts)] == [{x} for x in want]
+
+
 def test_license_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op8_license_scan"].run(spark, SF).collect():
