@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, exact, html, langid, licenses, lm, packing, pii, sharding, simhash
+from millrace.llm import decontaminate, exact, html, langid, licenses, lm, packing, pii, sharding, simhash, tokens
 from millrace.registry import Query, QueryFn
 from millrace.tables import table
 
@@ -122,3 +122,8 @@ FROM w LEFT JOIN (SELECT doc_id, sum(score) AS log_score, sum(good) AS n_full FR
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm.score_documents(table(spark, sf_dir, "documents"))
     return scored.withColumns({"log_score": F.round("log_score", 4), "mean_log": F.round("mean_log", 4)})
+
+
+@query("op13_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
