@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, exact, html, langid, licenses, lm, packing, pii, sharding, simhash, tokens
+from millrace.llm import (
+    decontaminate, exact, html, langid, licenses, lm, packing, periods, pii, sharding, simhash, tokens,
+)
 from millrace.registry import Query, QueryFn
 from millrace.tables import table
 
@@ -127,3 +129,19 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_token_counts")
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.collapse_runs(periods.repeated_tails(table(spark, sf_dir, "documents")))
+    # Greatest length, then smallest start, then smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    longest = found.withColumn("best", best).withColumns({
+        "start": F.col("best.start"), "length": F.col("best.length"), "period": F.col("best.period"),
+    })
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period",
+        F.expr("1000 * length div period").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
