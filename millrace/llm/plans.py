@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    decontaminate, exact, html, langid, licenses, lm, packing, periods, pii, sharding, simhash, tokens,
+    conversations, decontaminate, exact, html, langid, licenses, lm, packing, periods, pii, sharding, simhash, tokens,
 )
 from millrace.registry import Query, QueryFn
 from millrace.tables import table
@@ -145,3 +145,9 @@ def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * length div period").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_conversation_repair")
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(rows, absent_col="absent")
