@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from millrace.llm.common import columns
 
 LIMIT = 1024
-# Distinct pre-tokens beyond the proven ones whose counts a worker remembers.
-CACHE_WORDS = 400_000
-# Characters that are split at a time; cuts fall only where a pre-token begins anyway.
-SLICE = 1 << 20
+# Distinct words whose counts a task remembers.
+CACHE_WORDS = 600_000
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+# A blank that follows white space, and all other blanks.
+_LOOSE = re.compile(r"\s ")
+_CUT = re.compile(r"(?<=\S) ")
 
 
 def vocabulary_path() -> str:
@@ -49,7 +49,7 @@ def whole_tokens(path: str) -> frozenset[str]:
 def unsettled_characters() -> re.Pattern:
     """Characters that Python's Unicode tables leave unassigned.
 
-    Libraries of different Unicode versions may sort them as letters or not, so a text that
+    Libraries of different Unicode versions may sort them as letters or not, so a word that
     holds one is left to the tokenizer itself.
     """
     ranges, start = [], None
@@ -63,8 +63,18 @@ def unsettled_characters() -> re.Pattern:
     return re.compile(f"[{''.join(ranges)}]")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: visible Latin-1 characters for themselves, others from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class TokenCounts(dict):
-    """Number of tokens per pre-token: proven ones from the start, others merged once and remembered."""
+    """Number of tokens of a blank and the word behind it, remembered per word.
+
+    A new word is split into pre-tokens: proven ones count one, the rest is merged.
+    """
 
     def __init__(self, path: str, whole: frozenset[str]):
         import public_tokenizers
@@ -72,42 +82,42 @@ class TokenCounts(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.whole = dict.fromkeys(whole, 1)
-        self.update(self.whole)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
+        self.whole = whole
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.unsettled: re.Pattern | None = None
-        added = sorted(
+        self.unsettled = unsettled_characters()
+        self.added = sorted(
             (token.content for token in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True
         )
-        self.added = added
-        self.cut_added = re.compile("|".join(map(re.escape, added))).split if added else None
+        self.cut_added = re.compile("|".join(map(re.escape, self.added))).split if self.added else None
 
-    def __missing__(self, part: str) -> int:
-        if len(self) >= len(self.whole) + CACHE_WORDS:
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
             self.clear()
-            self.update(self.whole)
-        n = self.merged(part)
-        if len(part) <= 64:
-            self[part] = n
+        n = self.pre_tokens(f" {word}")
+        if len(word) <= 64:
+            self[word] = n
         return n
 
     def merged(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def pre_tokens(self, text: str) -> int:
+        if not text.isascii() and self.unsettled.search(text):
+            return self.merged(text)
+        n = 0
+        for part in self.split(text):
+            n += 1 if part in self.whole else len(self.merge(part.encode().decode("latin-1").translate(self.letters)))
+        return n
+
     def _ordinary(self, text: str) -> int:
-        n = at = 0
-        while len(text) - at > SLICE and (cut := _CUT.search(text, at + SLICE)):
-            n += sum(map(self.__getitem__, self.split(text[at:cut.start()])))
-            at = cut.start()
-        return n + sum(map(self.__getitem__, self.split(text[at:] if at else text)))
+        # A pre-token ends before a blank that follows a visible character, whatever comes then.
+        first, *rest = _CUT.split(text) if _LOOSE.search(text) else text.split(" ")
+        return self.pre_tokens(first) + sum(map(self.__getitem__, rest))
 
     def count(self, text: str) -> int:
         """Tokens of a whole text; an added token inside it is one token, as the tokenizer's default has it."""
-        if not text.isascii():
-            if self.unsettled is None:
-                self.unsettled = unsettled_characters()
-            if self.unsettled.search(text):
-                return self.merged(text)
         if not any(map(text.__contains__, self.added)):
             return self._ordinary(text)
         parts = self.cut_added(text)
@@ -136,7 +146,7 @@ def count_tokens(
     Counts are those of ``tokenizers`` with the given byte-level BPE file and no special tokens
     added. A NULL text counts as empty: no bytes, no tokens. Repeated rows and rows without
     id give a row each, an empty table gives none; further columns are ignored. Nothing is
-    shuffled, and a text is split a slice at a time. Returns doc_id, n_bytes, n_tokens, over_limit.
+    shuffled. Returns doc_id, n_bytes, n_tokens, over_limit.
     """
     path = checked(vocabulary or vocabulary_path())
     whole = whole_tokens(path)
