@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Amounts and score that count as suspicious.
 HIGH_VALUE = (10_000, 50_000)
 SUSPICIOUS_SCORE = 0.8
+# Transactions within so many seconds that count as rapid succession.
+RAPID = (10, 300)
 
 
 def high_value(df: DataFrame, amount: str, low: float = HIGH_VALUE[0], high: float = HIGH_VALUE[1]) -> DataFrame:
@@ -39,6 +41,19 @@ def rapid_succession(df: DataFrame, customer: str, ts: str, count: int = 10, sec
     )
 
 
+def rapid_alerts(df: DataFrame, customer: str, ts: str, count: int = RAPID[0], seconds: int = RAPID[1]) -> DataFrame:
+    """Moments at which the transactions of a customer in the last ``seconds`` reach ``count``: one per burst.
+
+    Without the moment's own second there were fewer. Rows without customer or time are no one's.
+    """
+    known = df.where(F.col(customer).isNotNull() & F.col(ts).isNotNull())
+    per_second = known.groupBy(customer, F.unix_timestamp(F.col(ts).cast("timestamp")).alias("_t")).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(customer, "_block").orderBy("_t").rangeBetween(-seconds, 0)
+    counted = _time_blocks(per_second, seconds).withColumn("n_recent", F.sum("_n").over(w))
+    reached = (F.col("n_recent") >= count) & (F.col("n_recent") - F.col("_n") < count)
+    return counted.where((F.col("_block") == F.col("_home")) & reached).select(customer, F.col("_t").alias("epoch"), "n_recent")
+
+
 def many_methods(df: DataFrame, customer: str, ts: str, method: str, count: int = 4, seconds: int = 300) -> DataFrame:
     """Moments at which a customer had used ``count`` payment methods in the last ``seconds``."""
     seen = df.select(customer, F.unix_timestamp(F.col(ts).cast("timestamp")).alias("_t"), method).distinct()

@@ -13,7 +13,7 @@ from millrace.plans.sales import _round
 from millrace.registry import query
 from millrace.session import new_path
 from millrace.sources import tables
-from millrace.streaming import jobs, messages
+from millrace.streaming import detectors, jobs, messages
 from millrace.tables import FACT_SALES_SQL, events, fact_sales, table
 
 # --- messages ---------------------------------------------------------------------
@@ -322,6 +322,26 @@ def fraud_rapid(spark, sf_dir):
     return fraud.rapid_succession(events(spark, sf_dir), "user_id", "ts", 3, 21_600)
 
 
+_ALERTS_SQL = """
+WITH e AS (SELECT user_id, floor(epoch(ts))::BIGINT AS epoch FROM events),
+c AS (SELECT user_id, epoch, count(*) OVER (PARTITION BY user_id ORDER BY epoch RANGE BETWEEN 21600 PRECEDING AND CURRENT ROW) AS n_recent,
+  count(*) OVER (PARTITION BY user_id, epoch) AS n FROM e)
+SELECT DISTINCT user_id, epoch, n_recent FROM c WHERE n_recent >= 3 AND n_recent - n < 3"""
+
+
+@query("fraud_rapid_alerts", "FR-02", _ALERTS_SQL)
+def fraud_rapid_alerts(spark, sf_dir):
+    return fraud.rapid_alerts(events(spark, sf_dir), "user_id", "ts", 3, 21_600)
+
+
+# A second is settled once the watermark (newest event minus 10 minutes) has passed its end.
+@query("fraud_rapid_stream", "FR-02", _ALERTS_SQL + " AND epoch + 1 <= (SELECT epoch(max(ts)) FROM events) - 600")
+def fraud_rapid_stream(spark, sf_dir):
+    with detectors.keyed_state(spark):
+        alerts = detectors.rapid_succession_stream(_event_stream(spark, sf_dir), "user_id", "ts", 3, 21_600, transaction="event_id")
+        return _run(spark, alerts, "alerts")
+
+
 @query("fraud_multi_method", "FR-04", """
 WITH e AS (SELECT user_id, floor(epoch(ts))::BIGINT AS epoch, event_type FROM events)
 SELECT a.user_id, a.epoch, count(DISTINCT b.event_type)::INT AS n_methods FROM (SELECT DISTINCT user_id, epoch FROM e) a
