@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import stable_bucket
+from millrace.operators.neighbours import nearest_neighbours
 from millrace.operators.ordered import BLOCK, HOME, ORDINAL, _blocks, join_on, with_ordinal
+from millrace.session import pin
 
 
 # --- splits ---------------------------------------------------------------------
@@ -126,6 +128,48 @@ def oversample(
         found = shifted.filter((F.col(BLOCK) == F.col(HOME)) & F.col("_other").isNotNull())
         part = found.select(label, key, *features, "_other", F.lit(i).alias("_dir"))
         pairs = part if pairs is None else pairs.union(part)
+    return _with_rows_between(df, pairs, label, features, key, seed)
+
+
+def oversample_near(
+    df: DataFrame, label: str, features: Sequence[str], key: str, neighbours: int = 5, seed: int = 42,
+    alone: str = "refuse",
+) -> DataFrame:
+    """Add rows between near rows of one class until every class is as large as the largest.
+
+    The ``neighbours`` nearest rows of each row, by standardised features, are found by hashing
+    (``nearest_neighbours``); every added row lies between a row and one of them. A class of a
+    single row has no neighbour: ``alone`` says whether that is refused or the row is copied. Equal rows
+    are neighbours, so a class of one repeated row is filled with it. Added rows have a NULL key and ``synthetic``.
+    """
+    if alone not in ("refuse", "copy"):
+        raise ValueError("alone is 'refuse' or 'copy'")
+    features = list(features)
+    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
+    top = sizes.agg(F.max("_n")).first()[0] or 0
+    single = pin(sizes.where((F.col("_n") == 1) & (F.lit(top) > 1)))
+    if alone == "refuse":
+        names = [repr(r[0]) for r in single.take(5)]
+        if names:
+            raise ValueError(f"classes of a single row: {', '.join(names)}")
+    # Only classes that grow need neighbours.
+    growing = join_on(df, sizes.where(F.col("_n") < top).select(label), [label], "inner")
+    scaled = zscore(growing.select(label, key, *features), features, suffix="_z")
+    near = nearest_neighbours(scaled, key, [f"{c}_z" for c in features], neighbours, by=[label], seed=seed)
+    other = growing.select(F.col(key).alias("neighbour"), F.struct(*features).alias("_other"))
+    pairs = (
+        growing.select(label, key, *features).join(near.select(key, "neighbour", (F.col("rank") - 1).alias("_dir")), key)
+        .join(other, "neighbour").select(label, key, *features, "_other", "_dir")
+    )
+    copied = join_on(growing, single.select(label), [label], "inner")
+    pairs = pairs.unionByName(copied.select(label, key, *features, F.struct(*features).alias("_other"), F.lit(0).alias("_dir")))
+    return _with_rows_between(df, pin(pairs), label, features, key, seed)
+
+
+def _with_rows_between(
+    df: DataFrame, pairs: DataFrame, label: str, features: Sequence[str], key: str, seed: int
+) -> DataFrame:
+    """The rows, and as many more between the pairs as every class lacks."""
     sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
     top = sizes.agg(F.max("_n")).scalar()
     # Each neighbour pair of a class of n rows gives this many rows or one more.

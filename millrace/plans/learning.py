@@ -12,6 +12,7 @@ from millrace.operators import evaluate as ev
 from millrace.operators import features as ft
 from millrace.operators import learn
 from millrace.operators import terms
+from millrace.operators.neighbours import nearest_neighbours
 from millrace.plans.sales import _round
 from millrace.plans.text import STOP_WORDS
 from millrace.registry import query
@@ -79,6 +80,20 @@ def oversampled_counts(spark, sf_dir):
     return out.groupBy("toxic").agg(F.count("*").alias("n"), F.count_if(~F.col("synthetic")).alias("own"))
 
 
+@query("oversampled_near_counts", "ML-04", """
+SELECT toxic, max(n) OVER () AS n, n AS own FROM (SELECT toxic, count(*) AS n FROM labels GROUP BY 1)""")
+def oversampled_near_counts(spark, sf_dir):
+    rows = _surface(spark, sf_dir).select("doc_id", "toxic", "length", "num_words", "num_dots")
+    out = ft.oversample_near(rows, "toxic", ["length", "num_words", "num_dots"], "doc_id")
+    return out.groupBy("toxic").agg(F.count("*").alias("n"), F.count_if(~F.col("synthetic")).alias("own"))
+
+
+@query("nearest_rows", "ML-04")
+def nearest_rows(spark, sf_dir):
+    rows = ft.zscore(_surface(spark, sf_dir), _SURFACE, suffix="_z")
+    return nearest_neighbours(rows, "doc_id", [f"{c}_z" for c in _SURFACE], 5, by=["quality"])
+
+
 _SURFACE = ["length", "num_words", "num_capitals", "num_exclamation", "num_question", "num_dots", "capital_ratio", "special_char_ratio"]
 
 
