@@ -2,15 +2,16 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
 the columns of documents. Each result is written to the shared folder and read again as
-the next stage's input, so a lost executor costs one stage at most.
+the next stage's input, so a lost executor costs one stage at most; what a stage wrote on
+its way goes when its result is there.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, exact, langid, packing, similar
-from millrace.session import pin
+from millrace.llm import decontaminate, exact, langid, packing, simhash
+from millrace.session import scratch, unpin
 from millrace.tables import table
 
 
@@ -25,7 +26,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar.drop_similar(docs)
+    """The smallest id of every group linked by SimHash, shingle length and bits as in ``op1_simhash``."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def leaked_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +53,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = pin(stage(spark, docs, sf_dir))
+        with scratch() as keep:
+            done = keep(stage(spark, docs, sf_dir))
+        unpin(docs)
+        docs = done
     return docs

@@ -6,7 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,14 +94,21 @@ def unpin(*frames: DataFrame) -> None:
 
 
 @contextmanager
-def scratch() -> Iterator[None]:
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Delete on leaving whatever was pinned inside; results must be written or read by then.
 
     For sessions that live long: without it, intermediate tables stay until the process ends.
+    Gives a function that pins a result for after the scope.
     """
     before = set(_PINNED)
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = pin(df)
+        before.add(out._pinned_path)
+        return out
+
     try:
-        yield
+        yield keep
     finally:
         spark = SparkSession.getActiveSession()
         for path in _PINNED - before if spark is not None else ():
