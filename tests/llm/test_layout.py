@@ -17,9 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    out = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check_pieces(pieces, ids):
@@ -56,10 +54,9 @@ def test_pieces_hold_every_id(spark, tokenizer):
     assert packing.pack_documents(docs.where("false")).count() == 0
 
 
-def test_added_tokens_as_the_file_says(spark):
-    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+def test_added_tokens_as_the_file_says(spark, tokenizer):
     texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x  y\n", "no\n<|endoftext|>\n\n  z", "<|ENDOFTEXT|> <|endoftext|"]
-    ids = {i: plain.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    ids = {i: tokenizer.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
     assert ids[0] == [64, 220, 50256, 275, 1]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     check_pieces(packing.pack_documents(docs).collect(), ids)
