@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import scalar
 from millrace.operators import ordered, profile
+from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.timeseries import date_parts
 
 
@@ -77,7 +78,7 @@ def impute(
         stats = df.agg(F.struct(*[F.avg(profile.known(c).cast("double")).alias(c) for c in columns]).alias("s")).scalar()
         fill = {c: stats[c] for c in columns}
     elif method == "median":
-        rows = ordered.exact_quantiles(df, columns, [0.5]).select("column_name", "q0").collect()
+        rows = exact_quantiles(df, columns, [0.5]).select("column_name", "q0").collect()
         fill = {r.column_name: F.lit(r.q0) for r in rows}
     else:
         raise ValueError(f"unknown imputation method: {method}")

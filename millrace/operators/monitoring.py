@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import exact_quantiles, join_on
+from millrace.operators.ordered import join_on
+from millrace.operators.quantiles import exact_quantiles
 
 
 def stage_metrics(

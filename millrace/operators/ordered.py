@@ -235,46 +235,3 @@ def chunk_rows(
     """Number consecutive chunks of ``size`` rows, from 0."""
     numbered = with_ordinal(df, order_by, partition_by)
     return numbered.withColumn(name, F.floor((F.col(ORDINAL) - 1) / size)).drop(ORDINAL)
-
-
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Exact linear-interpolated quantiles: one row per (by, column_name).
-
-    Equal values are counted before the shuffle and positions come from running
-    counts, so no group is ever held in one task. Quantile columns are ``q0``,
-    ``q1`` ... in the order of ``probabilities``; ``unique_count`` comes for free.
-    """
-    keys = [*by, "column_name"]
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
-    values = df.select(*by, F.explode(F.array(*pairs)).alias("_p")).select(
-        *by, "_p.column_name", (F.col("_p.value") + 0.0).alias("value")
-    )
-    counts = (
-        values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*keys, "value").agg(F.count("*").alias("_n"))
-    )
-    ranked = running(counts, ["value"], {"_upto": ("_n", "sum")}, keys)
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    placed = join_on(ranked, sizes, keys, "inner")
-    start = F.col("_upto") - F.col("_n")
-    aggs = []
-    for i, p in enumerate(probabilities):
-        target = (F.col("_total") - 1) * F.lit(float(p))
-        low, high = F.floor(target), F.ceil(target)
-        covers_low = (start <= low) & (low < F.col("_upto"))
-        covers_high = (start <= high) & (high < F.col("_upto"))
-        aggs += [
-            F.max(F.when(covers_low, F.col("value"))).alias(f"_lo{i}"),
-            F.max(F.when(covers_high, F.col("value"))).alias(f"_hi{i}"),
-        ]
-    found = placed.groupBy(*keys).agg(
-        F.max("_total").alias("_total"), F.count("*").alias("unique_count"), *aggs
-    )
-    out = []
-    for i, p in enumerate(probabilities):
-        target = (F.col("_total") - 1) * F.lit(float(p))
-        weight = target - F.floor(target)
-        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * weight).alias(f"q{i}"))
-    return found.select(*keys, "unique_count", *out)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.aggregate import kurtosis, skewness
-from millrace.operators.ordered import exact_quantiles, join_on
+from millrace.operators.ordered import join_on
+from millrace.operators.quantiles import approximate_quantiles, distinct_counts, exact_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -33,12 +34,14 @@ def _long(df: DataFrame, keys: Sequence[str], columns: Sequence[str], fields: Se
 
 
 def summary_statistics(
-    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), error: float | None = None
 ) -> DataFrame:
     """Profile per numeric column, overall or per group.
 
-    Moments come from one aggregate over all columns; quartiles and distinct
-    counts from exact running counts. Skewness and kurtosis are bias-corrected.
+    Moments come from one aggregate over all columns, quartiles by selection, distinct counts by
+    hashing. With ``error`` quartiles are those of a sketch, off by at most that share of the
+    rows in rank, and distinct counts are estimates within about 2 %. Skewness and kurtosis are
+    bias-corrected.
     """
     columns = [c for c in (columns or numeric_columns(df)) if c in df.columns and c not in by]
     aggs = []
@@ -58,9 +61,15 @@ def summary_statistics(
         ]
     fields = ["count", "mean", "std", "min", "max", "null_count", "null_percentage", "skewness", "kurtosis"]
     moments = _long(df.groupBy(*by).agg(*aggs), by, columns, fields)
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by)
     names = [*by, "column_name"]
-    return join_on(moments, quartiles, names).select(
+    if error is None:
+        quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by)
+        distinct = distinct_counts(df, columns, by)
+    else:
+        quartiles = approximate_quantiles(df, columns, [0.25, 0.5, 0.75], by, error).drop("count")
+        estimates = [F.approx_count_distinct(known(c).cast("double"), 0.02).alias(f"unique_count__{c}") for c in columns]
+        distinct = _long(df.groupBy(*by).agg(*estimates), by, columns, ["unique_count"])
+    return join_on(join_on(moments, quartiles, names), distinct, names).select(
         *names,
         *["count", "mean", "std", "min"],
         F.col("q0").alias("q25"),

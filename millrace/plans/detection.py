@@ -87,7 +87,7 @@ SELECT class_id, count(*) AS n, round(avg(score), 6) AS avg_score, round(stddev_
   round(avg((x2 - x1) / (y2 - y1 + 1e-6)), 6) AS mean_aspect, median(score) AS median_score
 FROM boxes GROUP BY 1""")
 def class_stats(spark, sf_dir):
-    from millrace.operators.ordered import exact_quantiles
+    from millrace.operators.quantiles import exact_quantiles
 
     rows = boxes(spark, sf_dir)
     stats = det.box_statistics(rows)

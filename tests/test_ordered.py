@@ -70,15 +70,6 @@ def test_growth_cumulative_rank_fill(frame, keys, monkeypatch):
     check(growth, want.replace([np.inf, -np.inf], np.nan))
 
 
-def test_quantiles_equal_numpy(frame):
-    df, pdf = frame
-    got = od.exact_quantiles(df, ["v", "t"], [0.0, 0.25, 0.5, 0.95, 1.0], ["k"]).collect()
-    for r in got:
-        values = pdf.loc[pdf.k == r.k, r.column_name].dropna()
-        assert [r.q0, r.q1, r.q2, r.q3, r.q4] == pytest.approx(list(values.quantile([0, 0.25, 0.5, 0.95, 1.0])))
-        assert r.unique_count == values.nunique()
-
-
 def test_unkeyed_work_uses_many_tasks(frame):
     df, _ = frame
     parts = od._slices(df, [], ["t", "id"]).select(od.SLICE).distinct().count()
