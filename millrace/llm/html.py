@@ -71,16 +71,17 @@ class _Blocks(HTMLParser):
         self.depth: dict[str, int] = {}
         self.articles = self.posts = 0
         self.kinds = [""]  # of each skip: tag, form or mark
-        self.active: list[int] = []
+        self.outer = [0]  # the skip around each skip, 0 for none
+        self.skip = 0  # the innermost open skip
         self.free = False  # an article stands in no skip
-        self.hidden: list[tuple[int, ...]] = []  # the skips around every other article
-        self.out: list[tuple[str, bool, tuple[int, ...]]] = []
+        self.hidden: list[int] = []  # the innermost skip around every other article
+        self.out: list[tuple[str, bool, int]] = []
         self.parts: list[str] = []
 
     def close_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.out.append((text, self.articles > 0, tuple(self.active)))
+            self.out.append((text, self.articles > 0, self.skip))
         self.parts = []
 
     def handle_starttag(self, tag, attrs):
@@ -104,14 +105,15 @@ class _Blocks(HTMLParser):
         elif named and not (article and not self.posts) and _marked(list(named.values())):
             kind = "mark"
         if article and not kind:
-            self.free |= not self.active
-            if self.active:
-                self.hidden.append(tuple(self.active))
+            self.free |= not self.skip
+            if self.skip:
+                self.hidden.append(self.skip)
         skip = 0
         if kind:
             skip = len(self.kinds)
             self.kinds.append(kind)
-            self.active.append(skip)
+            self.outer.append(self.skip)
+            self.skip = skip
         self.open.append((tag, skip, article, post))
         self.depth[tag] = self.depth.get(tag, 0) + 1
         self.articles += article
@@ -126,7 +128,7 @@ class _Blocks(HTMLParser):
             name, skip, article, post = self.open.pop()
             self.depth[name] -= 1
             if skip:
-                self.active.remove(skip)
+                self.skip = self.outer[skip]
             self.articles -= article
             self.posts -= post
             if name == tag:
@@ -140,26 +142,88 @@ class _Blocks(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
-    def lifted(self) -> set[int]:
-        """Skips that do not hold: forms around an article or long text, and marks around the only articles."""
-        around = {skip for skips in self.hidden for skip in skips}
-        for text, _, skips in self.out:
-            if skips and len(text.split()) >= LONG_TEXT:
-                around.update(skip for skip in skips if all(self.kinds[s] == "form" for s in skips))
-        lifted = {skip for skip in around if self.kinds[skip] == "form"}
-        if not self.free and not any(lifted.issuperset(skips) for skips in self.hidden):
-            lifted.update(s for skips in self.hidden if all(self.kinds[s] != "tag" for s in skips) for s in skips)
-        return lifted
+    def parse_html_declaration(self, i):
+        # Whatever stands in a declaration, it ends at the next bracket.
+        end = self.rawdata.find(">", i + 2)
+        return end + 1 if end >= 0 else -1
+
+    def shown(self) -> list[bool]:
+        """Of every skip whether it and all around it do not hold: forms around an article or long text, marks around the only articles."""
+        n = len(self.kinds)
+        forms, untagged = [True] * n, [True] * n  # of a skip and all around it
+        for s in range(1, n):  # what is around a skip has a smaller number
+            forms[s] = self.kinds[s] == "form" and forms[self.outer[s]]
+            untagged[s] = self.kinds[s] != "tag" and untagged[self.outer[s]]
+        around = [False] * n
+        for s in self.hidden:
+            around[s] = True
+        for text, _, s in self.out:
+            if s and forms[s] and len(text.split()) >= LONG_TEXT:
+                around[s] = True
+        for s in range(n - 1, 0, -1):
+            if around[s]:
+                around[self.outer[s]] = True
+        lifted = [around[s] and self.kinds[s] == "form" for s in range(n)]
+        if not self.free and not any(map(self._open(lifted).__getitem__, self.hidden)):
+            only = [False] * n
+            for s in self.hidden:
+                only[s] = untagged[s]
+            for s in range(n - 1, 0, -1):
+                if only[s]:
+                    only[self.outer[s]] = lifted[s] = True
+        return self._open(lifted)
+
+    def _open(self, lifted: list[bool]) -> list[bool]:
+        out = [True] * len(lifted)
+        for s in range(1, len(lifted)):
+            out[s] = lifted[s] and out[self.outer[s]]
+        return out
+
+
+_OPENING = re.compile(r"<!--|<(script|style)\b", re.IGNORECASE)
+_MARKUP = re.compile(r"</?[a-zA-Z]|<[!?]")
+_COMMENT_END = re.compile(r"--!?>")
+_RAW_END = {tag: re.compile(rf"</{tag}\b", re.IGNORECASE) for tag in ("script", "style")}
+
+
+def without_comments(html: str) -> str:
+    """The page without comments; one that does not end reaches to the end of the page, as does an open script or style.
+
+    Each place is looked at once, however many comments stay open.
+    """
+    kept, at, look = [], 0, 0
+    while found := _OPENING.search(html, look):
+        start = found.start()
+        before = html.rfind("<", at, start)
+        if before >= 0 and html[before + 1:before + 2].isalpha() and html.find(">", before, start) < 0:
+            look = found.end()  # inside a tag, as part of a value
+            continue
+        tag = found[1]
+        if tag:
+            end = _RAW_END[tag.lower()].search(html, found.end())
+            if not end:
+                return "".join([*kept, html[at:start]])
+            look = end.end()
+            continue
+        kept.append(html[at:start])
+        end = _COMMENT_END.search(html, start + 2)
+        if not end:
+            return "".join(kept)
+        at = look = end.end()
+    end = _MARKUP.search(html, max(at, html.rfind(">") + 1))
+    if end:  # a tag or declaration that does not end
+        return "".join([*kept, html[at:end.start()]])
+    return "".join([*kept, html[at:]]) if kept else html
 
 
 def blocks_of(html: str) -> list[tuple[str, bool, bool]]:
     """Blocks in page order, each with whether it stands in an article and whether it is skipped."""
     parser = _Blocks()
-    parser.feed(html)
+    parser.feed(without_comments(html))
     parser.close()
     parser.close_block()
-    lifted = parser.lifted() if len(parser.kinds) > 1 else set()
-    return [(text, inside, not lifted.issuperset(skips)) for text, inside, skips in parser.out]
+    shown = parser.shown()
+    return [(text, inside, not shown[skip]) for text, inside, skip in parser.out]
 
 
 def host_of(url: str | None) -> str:
@@ -261,7 +325,7 @@ def extract_text(
         .where("a < b").select("host", "gram")
     )
     open_pages = parsed.where(~F.col("article"))
-    covered = (
+    covered = pin(
         open_pages.select(ROW, "host", F.explode("grams").alias("gram"))
         .join(repeated, ["host", "gram"], "left_semi")
         .groupBy(ROW).agg(F.collect_set("gram").alias("covered"))
@@ -280,7 +344,7 @@ def extract_text(
         per_host.where(F.col("pages") >= BLOCK_PAGES).join(hosts, "run").join(sizes, "host")
         .where("hosts = 1 OR 2 * pages >= of").select("host", "run", "pages")
     )
-    shared = (
+    shared = pin(
         parsed.select(ROW, "host", F.explode("runs").alias("run")).join(pages_of_run, ["host", "run"])
         .groupBy(ROW).agg(
             F.collect_set("run").alias("common"),

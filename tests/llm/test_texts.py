@@ -292,6 +292,32 @@ PAGE = """<html><head><title>t</title><style>p{}</style><script>var a="</p>";</s
 <footer>foot</footer></body>"""
 
 
+# Broken pages and their texts.
+BROKEN = {
+    "<![foo[x]]>": "", "<![ x": "", "a<!-- open": "a", "a<!x": "a", "<!>b": "b", "<![CDATA[ e ]]>f": "f", "<?php x ?>d": "d",
+    "<!-->g": "g", "<!--->h": "h", "<!-- x --!>i": "i", "<script>'<!--'</script>j": "j", "<a title='<!-- '>k</a>": "k",
+    "l<script>never": "l", "m<style>p{": "m", "<": "<", "n<a": "n", 'o<a href="x': "o", "&#xFFFFFFFF;&#0;&bad;p": "\ufffd\ufffd&bad;p",
+    "<p <p>q": "q", "</p>r</html>s": "rs", "<!--[if IE]>w<![endif]-->x<![endif]>y": "xy", "<!DOCTYPE html>t": "t", "</div></div>u": "u",
+    "<table><tr><p>v</td></p>w": "v w", "1 < 2 <!-- z --> 3": "1 < 2 3", "<!" * 500: "", "<div>" * 3000 + "x": "x",
+}
+
+
+def test_broken_pages(spark):
+    texts = list(BROKEN)
+    pages = spark.createDataFrame([(i, f"h{i}", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    got = {texts[r.page_id]: r.text for r in html.extract_text(pages).collect()}
+    assert got == BROKEN
+
+
+def test_deep_and_open_pages_take_linear_time():
+    import time
+
+    start = time.time()
+    assert len(html.blocks_of('<div class="ad">x' * 40_000)) == 40_000
+    assert html.blocks_of("y" + "<!-- " * 200_000) == [("y", False, False)]
+    assert time.time() - start < 20
+
+
 def test_article_pages(spark):
     rows = [(1, "http://a.b/x", PAGE), (2, None, None), (None, "u", ""), (3, "a.b/y", "plain words only"), (3, "a.b/y", "plain words only")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
