@@ -22,6 +22,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.decompose import project, singular_directions
 from millrace.operators.features import folds
 from millrace.operators.terms import TOKEN
 
@@ -81,26 +82,10 @@ def fit_word2vec(
 
 
 def truncated_svd(df: DataFrame, features: str, key: str, dimensions: int = 100) -> DataFrame:
-    """Rows projected on the leading singular directions (no centring).
-
-    The directions are one matrix of features by dimensions, which MLlib gathers on the
-    driver by itself; rows are multiplied with it a batch at a time.
-    """
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
-
-    width = df.select(features).first()[0].size
-    rows = MLUtils.convertVectorColumnsFromML(df.select(features), features)
-    v = RowMatrix(rows).computeSVD(min(dimensions, width - 1)).V.toArray()
-
-    @F.pandas_udf("array<double>")
-    def project(batch):
-        import numpy as np
-        import pandas as pd
-
-        return pd.Series(list(np.stack(batch.to_numpy()) @ v)) if len(batch) else pd.Series([], dtype=object)
-
-    return df.select(key, array_to_vector(project(vector_to_array(features))).alias("reduced"))
+    """Rows projected on the leading singular directions (no centring); NULL for a NULL vector."""
+    basis, values = singular_directions(df, features, dimensions)
+    reduced = project(df, features, basis, len(values), key)
+    return reduced.withColumn("reduced", array_to_vector("reduced"))
 
 
 # --- models ----------------------------------------------------------------------
