@@ -17,7 +17,6 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +84,7 @@ def truncated_svd(df: DataFrame, features: str, key: str, dimensions: int = 100)
     """Rows projected on the leading singular directions (no centring); NULL for a NULL vector."""
     basis, values = singular_directions(df, features, dimensions)
     reduced = project(df, features, basis, len(values), key)
-    return reduced.withColumn("reduced", array_to_vector("reduced"))
+    return reduced.withColumn("reduced", F.when(F.col("reduced").isNotNull(), array_to_vector("reduced")))
 
 
 # --- models ----------------------------------------------------------------------
@@ -226,15 +225,3 @@ def kmeans_anchors(df: DataFrame, width: str, height: str, k: int = 9, seed: int
     centers = KMeans(k=k, seed=seed).fit(vectors).clusterCenters()
     rows = sorted((float(c[0]), float(c[1])) for c in centers)
     return df.sparkSession.createDataFrame(rows, "width double, height double")
-
-
-def fit_calibration(scored: DataFrame, score_column: str = "score", label: str = "label"):
-    """Monotone map from score to probability.
-
-    Rows are counted per score first, as MLlib gathers what it pools on the driver.
-    """
-    counted = scored.groupBy(score_column).agg(
-        F.avg(F.col(label).cast("double")).alias(label), F.count("*").cast("double").alias("_weight")
-    )
-    iso = IsotonicRegression(featuresCol=score_column, labelCol=label, predictionCol="calibrated", weightCol="_weight")
-    return iso.fit(counted)

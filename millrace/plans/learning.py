@@ -10,7 +10,7 @@ from millrace.functions import scalar
 from millrace.functions import text as tx
 from millrace.operators import evaluate as ev
 from millrace.operators import features as ft
-from millrace.operators import learn
+from millrace.operators import isotonic, kernel, learn
 from millrace.operators import terms
 from millrace.operators.neighbours import nearest_neighbours
 from millrace.plans.sales import _round
@@ -281,6 +281,16 @@ _register_classifier("gbt")
 _register_classifier("mlp")
 
 
+@query("classify_rbf", "ML-05 TXT-06 TXT-09")
+def classify_rbf(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    features = _text_model(train)
+    ready = pin(features.transform(train).select("doc_id", "label", "weight", "features"))
+    gamma = kernel.scale_gamma(ready, "features")
+    model = learn.classifier("svc", features="rbf", weight="weight").fit(kernel.rbf_features(ready, "features", "rbf", gamma, 512))
+    return learn.score(model, kernel.rbf_features(features.transform(test), "features", "rbf", gamma, 512), ["doc_id", "label"])
+
+
 @query("cv_scores", "ML-06")
 def cv_scores(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
@@ -352,7 +362,8 @@ fit AS (SELECT k.score, max(lo.m) AS calibrated FROM k JOIN lo ON lo.j = k.i GRO
 SELECT doc_id, label, score, round(calibrated, 6) AS calibrated FROM scored JOIN fit USING (score)""")
 def calibration(spark, sf_dir):
     rows = _scored(spark, sf_dir)
-    return _round(learn.fit_calibration(rows).transform(rows).select("doc_id", "label", "score", "calibrated"), 6)
+    blocks = isotonic.fit_isotonic(rows, "score", "label")
+    return _round(isotonic.calibrate(rows, blocks, "score").select("doc_id", "label", "score", "calibrated"), 6)
 
 
 @query("word2vec_documents", "TXT-07")
