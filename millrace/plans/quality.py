@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from millrace.operators import joins
+from millrace.operators import custom, joins
 from millrace.operators import quality as dq
 from millrace.plans.sales import _round
 from millrace.registry import query
@@ -309,3 +309,37 @@ def dq_groups(spark, sf_dir):
     holds = (F.sum("l_extendedprice") >= 1000) & (F.max("l_linenumber") <= 7)
     rules = [dq.GroupRule("order_value", ["l_orderkey"], holds)]
     return _round(dq.check_rules(table(spark, sf_dir, "lineitem"), rules), 6)
+
+
+@query("group_function", "UDF-05", """
+SELECT l_suppkey, CASE WHEN l_suppkey % 10 = 3 THEN NULL ELSE count(*) END AS n,
+  CASE WHEN l_suppkey % 10 = 3 THEN NULL ELSE max(l_quantity) - min(l_quantity) END AS spread,
+  CASE WHEN l_suppkey % 10 = 3 THEN 'ValueError: supplier ' || l_suppkey || ' is barred' END AS error
+FROM lineitem GROUP BY 1""")
+def group_function(spark, sf_dir):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def spread(rows):
+        supplier = rows.column("l_suppkey")[0].as_py()
+        if supplier % 10 == 3:
+            raise ValueError(f"supplier {supplier} is barred")
+        ends = pc.min_max(rows.column("l_quantity")).as_py()
+        return pa.table({"n": [rows.num_rows], "spread": [ends["max"] - ends["min"]]})
+
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").cast("double").alias("l_quantity"))
+    return custom.apply_per_group(rows, ["l_suppkey"], spread, "n long, spread double")
+
+
+@query("group_checks", "UDF-05", """
+SELECT l_suppkey, sum(l_quantity) > 600 AS passed, CASE WHEN sum(l_quantity) <= 600 THEN 'only ' || CAST(sum(l_quantity) AS BIGINT) || ' sold' END AS message
+FROM lineitem GROUP BY 1""")
+def group_checks(spark, sf_dir):
+    import pyarrow.compute as pc
+
+    def sold(rows):
+        total = pc.sum(rows.column("l_quantity")).as_py()
+        return True if total > 600 else f"only {int(total)} sold"
+
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").cast("double").alias("l_quantity"))
+    return custom.check_groups(rows, ["l_suppkey"], sold)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import aggregate as agg
-from millrace.operators import metrics, profile, timeseries
+from millrace.operators import custom, metrics, profile, timeseries
 from millrace.registry import query
 from millrace.tables import FACT_SALES_SQL, events, fact_sales, table
 
@@ -341,3 +341,15 @@ def metric_list(spark, sf_dir):
         {"name": "each", "type": "custom", "formula": "total / n"},
     ], ["month"])
     return _round(out.withColumn("so_far", F.round("so_far", 1)))
+
+
+@query("python_aggregates", "UDF-03", """
+WITH c AS (SELECT l_returnflag, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2),
+m AS (SELECT l_returnflag, l_linenumber FROM c QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY n DESC, l_linenumber) = 1)
+SELECT l_returnflag, round(exp(avg(ln(l_quantity))), 6) AS geometric_mean, any_value(m.l_linenumber)::BIGINT AS usual_line
+FROM lineitem JOIN m USING (l_returnflag) GROUP BY 1""")
+def python_aggregates(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"))
+    return _round(custom.aggregate(rows, ["l_returnflag"], {
+        "geometric_mean": custom.geometric_mean("l_quantity"), "usual_line": custom.mode("l_linenumber", "long"),
+    }), 6)
