@@ -13,7 +13,7 @@ from millrace.plans.sales import _round
 from millrace.registry import query
 from millrace.session import new_path
 from millrace.sources import tables
-from millrace.streaming import detectors, jobs, messages
+from millrace.streaming import detectors, jobs, messages, progress
 from millrace.tables import FACT_SALES_SQL, events, fact_sales, table
 
 # --- messages ---------------------------------------------------------------------
@@ -300,6 +300,20 @@ def run_statistics(spark, sf_dir):
     return _round(mon.run_statistics(runs), 6)
 
 
+@query("stream_lasting_health", "ST-06", """
+SELECT 'late marks' AS query, 1::BIGINT AS starts, 0::BIGINT AS failures, 'ended' AS last_event, count(*)::BIGINT AS records, true AS healthy FROM events""")
+def stream_lasting_health(spark, sf_dir):
+    path = new_path(spark, "progress")
+    log = progress.ProgressLog(spark, f"{path}/log").start()
+    try:
+        rows = jobs.event_time(_event_stream(spark, sf_dir), "ts", "10 minutes")
+        jobs.run_to_files(rows, f"{path}/out", f"{path}/checkpoint", name="late marks")
+        log.wait_for_ends(1)
+    finally:
+        log.stop()
+    return progress.lasting_health(spark, f"{path}/log").select("query", "starts", "failures", "last_event", "records", "healthy")
+
+
 # --- fraud ---------------------------------------------------------------------------
 
 

@@ -48,10 +48,11 @@ def rapid_windows(
 # --- sinks ---------------------------------------------------------------------------
 
 
-def run_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+def run_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", name: str | None = None) -> StreamingQuery:
     """Process everything available now into files, exactly once."""
+    writer = df.writeStream.queryName(name) if name else df.writeStream
     query = (
-        df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+        writer.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
