@@ -40,6 +40,12 @@ HEADERS = [
       for label, version in (("gpl-2.0", 2), ("gpl-3.0", 3))],
     ("gpl-2.0", "Licensed under the GNU General Public License, version 2"),
 ]
+# Short names of licenses; of up to SHORT_WORDS words, they must stand as written to label a text.
+SHORT = [
+    ("apache-2.0", "Apache 2.0"), ("bsd-3-clause", "BSD 3-Clause License"), ("gpl-3.0", "GNU GPL v3"), ("mit", "MIT License"),
+    ("mit", "SPDX-License-Identifier: MIT"),
+]
+SHORT_WORDS = 4
 # What a notice of up to NAMED_WORDS distinct words must spell out besides the threshold, for
 # each label one phrase of every group.
 NAMED_WORDS = 60
@@ -68,7 +74,7 @@ _TABLE = bytes(ord(chr(b).lower()) if b >= 128 or chr(b).isalnum() and b < 128 e
 
 FOUND = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
-    "score double, matches array<struct<label: string, block: int, containment: double>>"
+    "score double, matches array<struct<label: string, block: int, lines: int, containment: double, tells: boolean>>"
 )
 
 
@@ -141,7 +147,8 @@ class TemplateIndex:
             line = b" " + b" ".join(words) + b" "
             groups = [[b" " + p.encode() + b" " for p in group] for group in (names or {}).get(label, ())]
             own = len(tokens) <= NAMED_WORDS and all(any(p in line for p in group) for group in groups)
-            self.names.append(groups if own else [])
+            short = names is not None and len(words) <= SHORT_WORDS
+            self.names.append([[line]] if short else groups if own else [])
         self.seeds = {w for w, r in self.rank.items() if r in self.prefix}
 
     def shared(self, tokens: list[int], words: list[bytes]) -> int:
@@ -164,12 +171,8 @@ class TemplateIndex:
                 return 0.0
         return shared / len(tokens)
 
-    def found(self, words: list[bytes]) -> list[tuple[int, float]]:
-        """Templates, by number, that the block matches, and the share of tokens it holds."""
-        return [(t, share) for t in self.candidates(words) if (share := self.share(t, words))]
-
     def candidates(self, words: list[bytes]) -> list[int]:
-        """Templates, by number, of which the block may hold the threshold share of tokens."""
+        """Templates, by number, of which the block holds the threshold share of tokens."""
         own = sorted({self.rank[w] for w in words if w in self.rank})
         have, tried, out = set(own), set(), []
         for j, token in enumerate(own):
@@ -184,14 +187,20 @@ class TemplateIndex:
                     out.append(t)
         return out
 
-    def search(self, lines: list[list[bytes]]) -> list[tuple[int, str, float]]:
-        """Block, label and share of every match in a text's lines, one for a label and block.
+    def search(self, lines: list[list[bytes]]) -> list[tuple[str, int, int, float, bool]]:
+        """Label, first line, number of lines, share of every match in a text's lines, and whether it tells the license.
 
-        Blocks are single lines, named by their number, and in paragraphs (runs of lines with
-        words) of several lines the windows that grow to the template's length, named by
-        their first line. A window counts where no line in it matches the template.
+        Blocks are lines and paragraphs (runs of several lines with words): all that hold the threshold
+        share of a template's words are there. Those that pass the conditions of ``share`` too tell the
+        license, and so do windows of a paragraph's lines that grow to the template's length and do,
+        where no line in them does. The best of a label and block is kept.
         """
-        best: dict[tuple[int, str], float] = {}
+        best: dict[tuple[str, int, int], tuple[float, bool]] = {}
+
+        def put(label: str, block: int, n: int, share: float, tells: bool) -> None:
+            have = best.get((label, block, n), (0.0, False))
+            best[label, block, n] = (max(share, have[0]), tells or have[1])
+
         at = 0
         while at < len(lines):
             end = at + 1
@@ -203,19 +212,24 @@ class TemplateIndex:
                 alone = set()
                 for i, line in enumerate(part):
                     if not self.seeds.isdisjoint(line):
-                        for t, share in self.found(line):
-                            alone.add((t, i))
-                            key = (at + i, self.templates[t][0])
-                            best[key] = max(share, best.get(key, 0.0))
+                        for t in self.candidates(line):
+                            tells = self.share(t, line) > 0
+                            put(self.templates[t][0], at + i, 1, self.containment(t, line), tells)
+                            if tells:
+                                alone.add((t, i))
                 for t in self.candidates(whole) if len(part) > 1 else ():
-                    for i, share in self.windows(t, part, {j for k, j in alone if k == t}):
-                        key = (at + i, self.templates[t][0])
-                        best[key] = max(share, best.get(key, 0.0))
+                    put(self.templates[t][0], at, len(part), self.containment(t, whole), False)
+                    for i, n, share in self.windows(t, part, {j for k, j in alone if k == t}):
+                        put(self.templates[t][0], at + i, n, share, True)
             at = end
-        return [(block, label, share) for (block, label), share in sorted(best.items())]
+        return [(*key, *found) for key, found in sorted(best.items(), key=lambda x: (x[0][1], x[0]))]
+
+    def containment(self, t: int, words: list[bytes]) -> float:
+        tokens = self.templates[t][1]
+        return self.shared(tokens, words) / len(tokens)
 
-    def windows(self, t: int, part: list[list[bytes]], alone: set[int]) -> Iterator[tuple[int, float]]:
-        """First line and share of the windows of lines that match, none overlapping the one before."""
+    def windows(self, t: int, part: list[list[bytes]], alone: set[int]) -> Iterator[tuple[int, int, float]]:
+        """First line, number of lines and share of the windows of lines that match, none overlapping the one before."""
         ends = np.cumsum([len(line) for line in part])
         tokens = self.templates[t][1]
         useful = [any(self.rank.get(w) in tokens for w in line) for line in part]
@@ -234,7 +248,7 @@ class TemplateIndex:
                 if next_share < share:
                     break
                 i, j, share = i + 1, k, next_share
-            yield i, share
+            yield i, min(j, len(part)) - i, share
             i = j
 
 
@@ -262,24 +276,27 @@ def scan_licenses(
 ) -> DataFrame:
     """Find license notices and the sections of license texts in every document.
 
-    A line, or a window of consecutive lines of a paragraph as long as the template, matches
-    a template when it holds at least ``threshold`` of the template's distinct words and,
-    for short notices, the words that name the license (NAMES); templates of more than
-    SECTION_WORDS distinct words must be held by a quarter more words than they have. Without ``templates`` those
-    are TEMPLATES, HEADERS and the paragraphs of the texts in license_texts that tell
+    A text block is a line, or a paragraph: a run of several consecutive lines with words. ``matches`` holds every block
+    with at least ``threshold`` of a template's distinct words, and its containment; no match is lost. Not
+    every one of them tells a license: a long block holds the words of many a notice by chance. ``tells``
+    marks those that do, and gives ``labels`` and ``score``: a block, or a window of lines as long as
+    the template, that also holds the words that name the license (NAMES; names of up to
+    SHORT_WORDS words as written), and for templates of more than SECTION_WORDS distinct words
+    holds them within a quarter more words than they have. Without ``templates`` those
+    are TEMPLATES, HEADERS, SHORT and the paragraphs of the texts in license_texts that tell
     one license from the others; given ones are
     compared by the threshold alone. Words are runs of letters and digits after lower-casing A-Z. Template
     words are ordered by their frequency in the corpus, rarest first; a block is compared
     only if it holds a word of a template's prefix (prefix filter), has enough words
     (length filter) and can still reach the threshold after the first shared word
-    (positional filter). No match is lost. Besides, the places of fixed phrases are
+    (positional filter). Besides, the places of fixed phrases are
     counted; all of them count, overlapping ones too. The score is the highest containment
-    found, 1 for a phrase and 0 for nothing. NULL text counts as empty; repeated rows
+    that tells, 1 for a phrase and 0 for nothing. NULL text counts as empty; repeated rows
     give a row each; further columns are ignored; an empty table gives no rows.
     Returns FOUND.
     """
     names = NAMES if templates is None else None
-    held = [*TEMPLATES.items(), *HEADERS, *sections(threshold)] if templates is None else list(templates.items())
+    held = [*TEMPLATES.items(), *HEADERS, *SHORT, *sections(threshold)] if templates is None else list(templates.items())
     phrase_words = [(words_of(p.encode()), label) for p, label in (PHRASES if phrases is None else phrases).items()]
     tokens = {w for _, text in held for w in words_of(text.encode())}
     if len(tokens) > MAX_TEMPLATE_WORDS:
@@ -294,13 +311,14 @@ def scan_licenses(
         matches = []
         if not index.seeds.isdisjoint(words):
             lines = [words_of(line) for line in raw.split(b"\n")]
-            matches = [(label, b, share) for b, label, share in index.search(lines)]
+            matches = index.search(lines)
         base = {label for _, label in places}
         starts = [at for at, _ in places]
         return (
             len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
-            ",".join(sorted(base | {m[0] for m in matches})), max([m[2] for m in matches] + [1.0] * bool(base), default=0.0),
-            [{"label": a, "block": b, "containment": c} for a, b, c in matches],
+            ",".join(sorted(base | {m[0] for m in matches if m[4]})),
+            max([m[3] for m in matches if m[4]] + [1.0] * bool(base), default=0.0),
+            [dict(zip(("label", "block", "lines", "containment", "tells"), m)) for m in matches],
         )
 
     fields = [c.split()[0] for c in FOUND.split(", matches")[0].split(", ")[1:]] + ["matches"]

@@ -70,24 +70,40 @@ def test_private_query(spark):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s.startswith(k) for s in want) for k in pii.BASE)
 
 
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
 def plain_license(text):
-    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    words = plain_words(text)
     places = [
         (i, label) for phrase, label in licenses.PHRASES.items() for i in range(len(words))
         if words[i:i + len(phrase.split())] == phrase.split()
     ]
-    labels = {label for _, label in places}
-    for line in (text or "").split("\n"):
-        have = set(licenses.words_of(line.encode()))
-        for label, template in licenses.TEMPLATES.items():
-            need = set(licenses.words_of(template.encode()))
-            if len(have & need) >= 0.8 * len(need):
-                labels.add(label)
     starts = [i for i, _ in places]
-    return (
-        len(words), len(places), min(starts, default=None), max(starts, default=None),
-        ",".join(sorted({label for _, label in places})), ",".join(sorted(labels)),
-    )
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({label for _, label in places}))
+
+
+def plain_matches(text):
+    """Every line and every run of several lines with words against every template."""
+    lines = (text or "").split("\n")
+    blocks, at = [(i, 1) for i in range(len(lines))], 0
+    while at < len(lines):
+        end = at
+        while end < len(lines) and plain_words(lines[end]):
+            end += 1
+        if end - at > 1:
+            blocks.append((at, end - at))
+        at = max(end, at + 1)
+    found = {}
+    for at, n in blocks:
+        have = set(plain_words("\n".join(lines[at:at + n])))
+        for label, template in [*licenses.TEMPLATES.items(), *licenses.HEADERS, *licenses.SHORT, *licenses.sections(0.8)]:
+            need = set(plain_words(template))
+            share = len(have & need) / len(need)
+            if share >= 0.8 - 1e-9:
+                found[label, at, n] = max(share, found.get((label, at, n), 0))
+    return found
 
 
 LICENSED = [
@@ -100,8 +116,46 @@ LICENSED = [
 
 def test_licenses(spark):
     docs = spark.createDataFrame(list(enumerate(LICENSED)) + [(None, "CC BY")], "doc_id long, text string")
-    got = {r.doc_id: tuple(r)[1:7] for r in licenses.scan_licenses(docs).collect()}
-    assert got == {r.doc_id: plain_license(r.text) for r in docs.collect()}
+    rows = licenses.scan_licenses(docs).collect()
+    assert {r.doc_id: tuple(r)[1:6] for r in rows} == {r.doc_id: plain_license(r.text) for r in docs.collect()}
+    # A window that tells may stand beside the blocks; what it adds is never below the threshold.
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in rows:
+        got, want = {(m.label, m.block, m.lines): m.containment for m in r.matches}, plain_matches(texts[r.doc_id])
+        assert {k: got.get(k) for k in want} == pytest.approx(want)
+        assert all(m.tells and m.containment >= 0.8 for m in r.matches if (m.label, m.block, m.lines) not in want)
+        assert set(r.labels.split(",")) - {""} == {m.label for m in r.matches if m.tells} | set(r.base_labels.split(",")) - {""}
+    assert [r.labels for r in sorted(rows, key=lambda r: r.doc_id if r.doc_id is not None else -1)][3] == "mit"
+
+
+def test_no_block_at_the_threshold_is_lost(spark):
+    """Blocks with a tenth of a template's words left out and others put in, on one line and wrapped."""
+    import random
+
+    rng, texts = random.Random(8), []
+    for _, template in [*licenses.TEMPLATES.items(), *licenses.HEADERS, *licenses.SHORT, *licenses.sections(0.8)]:
+        for inserted in (0, 0.3, 0.6):
+            words = [w for word in template.split() if rng.random() > 0.1 for w in ([f"x{rng.randrange(99)}", word] if rng.random() < inserted else [word])]
+            texts += [" ".join(words), "\n".join(" ".join(words[i:i + 8]) for i in range(0, len(words), 8))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.scan_licenses(docs).collect():
+        got = {(m.label, m.block, m.lines): m.containment for m in r.matches}
+        want = plain_matches(texts[r.doc_id])
+        assert {k: got.get(k) for k in want} == pytest.approx(want)
+
+
+def test_license_tables(spark, awkward, empty):
+    rows = licenses.scan_licenses(awkward).collect()
+    assert len(rows) == awkward.count() and licenses.scan_licenses(empty).count() == 0
+    clash = spark.createDataFrame([(1, "MIT License", "x", 2.0)] * 2, "doc_id long, text string, labels string, score double")
+    assert [(r.labels, r.score) for r in licenses.scan_licenses(clash).collect()] == [("mit", 1.0)] * 2
+
+
+def test_private_data_tables(spark, awkward, empty):
+    assert len(pii.scan_private_data(awkward).collect()) == awkward.count()
+    assert pii.scan_private_data(empty).count() == 0
+    clash = spark.createDataFrame([(1, "a@b.org", "x")] * 2, "doc_id long, text string, found string")
+    assert [[s.kind for s in r.found] for r in pii.scan_private_data(clash).collect()] == [["email"], ["email"]]
 
 
 def labels_of(spark, texts):
@@ -124,6 +178,8 @@ def test_license_texts_and_other_notices(spark):
         "Licensed under the GNU General Public License, version 2", "Licensed under CC BY-NC 4.0",
     ]
     assert labels_of(spark, others) == ["", "", "", "", "", "", "mit", "gpl-2.0", "cc-by-nc-4.0"]
+    short = ["MIT License", "// SPDX-License-Identifier: MIT", "GNU GPL v3", "Apache 2.0", "BSD 3-Clause License", "2.0 by Apache", "License mit"]
+    assert labels_of(spark, short) == ["mit", "mit", "gpl-3.0", "apache-2.0", "bsd-3-clause", "", ""]
 
 
 def test_wrapped_notices(spark):
@@ -142,7 +198,10 @@ def test_wrapped_notices(spark):
 def test_license_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op8_license_scan"].run(spark, SF).collect():
-        assert tuple(r)[1:7] == plain_license(texts[r.doc_id])
+        assert tuple(r)[1:6] == plain_license(texts[r.doc_id])
+        got = {(m.label, m.block, m.lines): m.containment for m in r.matches}
+        want = plain_matches(texts[r.doc_id])
+        assert {k: got.get(k) for k in want} == pytest.approx(want)
         assert 0 <= r.score <= 1
 
 
