@@ -21,9 +21,11 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.scalar import stable_bucket
 from millrace.operators.decompose import project, singular_directions
 from millrace.operators.features import folds
 from millrace.operators.terms import TOKEN
+from millrace.session import pin, unpin
 
 
 # --- text features ------------------------------------------------------------
@@ -149,6 +151,49 @@ def cross_validate(
     return cv.fit(folds(train, key, k))
 
 
+def grid_settings(names: Sequence[str]) -> list[tuple[str, dict]]:
+    """Every setting of every named model's grid."""
+    return [
+        (name, dict(zip(GRIDS[name], values))) for name in names for values in itertools.product(*GRIDS[name].values())
+    ]
+
+
+def successive_halving(
+    train: DataFrame, candidates: Sequence[tuple[str, dict]], key: Sequence[str] | str, shares: Sequence[float] = (0.1, 0.3, 1.0),
+    keep: float = 1 / 3, metric: str = "f1", label: str = "label", seed: int = 42, **common,
+):
+    """Search over models and settings with rungs of growing shares of the rows.
+
+    A fifth of the rows, by hash of the key, is held out and scores every fit. On each rung all candidates
+    left are fitted on that share of the other rows, also by hash, so that a larger share
+    holds the smaller; the best ``keep`` of them, ties by place, go on. The last rung sees
+    all of those rows, and its winner is fitted once more on every row. Returns that model, and a list of
+    (rung, model, setting, rows, score, survives).
+    """
+    if list(shares) != sorted(shares) or shares[-1] != 1.0:
+        raise ValueError("shares grow up to 1.0")
+    keys = [key] if isinstance(key, str) else list(key)
+    place = stable_bucket([F.lit(f"halving-{seed}"), *keys], 1_000_000)
+    held = train.where(place % 5 == 0)
+    rest = train.where(place % 5 != 0)
+    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
+    left, rows = list(range(len(candidates))), []
+    for rung, share in enumerate(shares):
+        part = pin(rest.where(F.floor(place / 5) < F.lit(round(share * 200_000))))
+        n = part.count()
+        scores = {}
+        for i in left:
+            name, setting = candidates[i]
+            scores[i] = evaluator.evaluate(classifier(name, label=label, **common, **setting).fit(part).transform(held)) if n else 0.0
+        unpin(part)
+        ranked = sorted(left, key=lambda i: (-scores[i], i))
+        going = ranked[:1] if rung == len(shares) - 1 else ranked[: max(1, math.ceil(len(ranked) * keep))]
+        rows += [(rung, candidates[i][0], candidates[i][1], n, scores[i], i in going) for i in left]
+        left = sorted(going)
+    name, setting = candidates[left[0]]
+    return classifier(name, label=label, **common, **setting).fit(train), rows
+
+
 def cv_table(spark, fitted, name: str) -> DataFrame:
     """Mean and spread of the score per parameter setting."""
     rows = [

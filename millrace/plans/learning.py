@@ -308,6 +308,15 @@ def random_search(spark, sf_dir):
     return learn.cv_table(spark, fitted, "lr")
 
 
+@query("halving_search", "ML-06")
+def halving_search(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    ready = pin(_text_model(train).transform(train).select("doc_id", "label", "features"))
+    _, rows = learn.successive_halving(ready, learn.grid_settings(["nb", "lr", "svc", "rf"]), "doc_id")
+    named = [(rung, name, ", ".join(f"{k}={v}" for k, v in s.items()), n, score, goes) for rung, name, s, n, score, goes in rows]
+    return spark.createDataFrame(named, "rung int, model string, parameters string, rows long, score double, survives boolean")
+
+
 @query("ensemble_vote", "ML-07 ML-11")
 def ensemble_vote(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
