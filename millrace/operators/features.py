@@ -14,6 +14,17 @@ from millrace.operators.ordered import BLOCK, HOME, ORDINAL, _blocks, join_on, w
 from millrace.session import pin
 
 
+# Classes that every task may hold.
+HELD_CLASSES = 100_000
+
+
+def _join_classes(df: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+    """Add what is known of each class. Rows stay where they are: a shuffle by class would
+    leave all of them to as many tasks as there are classes. ``classes`` is small and pinned."""
+    few = len(classes.select(label).take(HELD_CLASSES + 1)) <= HELD_CLASSES
+    return join_on(df, F.broadcast(classes) if few else classes, [label], "inner")
+
+
 # --- splits ---------------------------------------------------------------------
 
 
@@ -28,8 +39,8 @@ def stratified_split(
     keys = [key] if isinstance(key, str) else list(key)
     salted = df.withColumn("_h", stable_bucket([F.lit(str(seed)), *keys], 1 << 30))
     numbered = with_ordinal(salted, ["_h", *keys], [label])
-    sizes = df.groupBy(label).agg(F.count("*").alias("_size"))
-    placed = join_on(numbered, sizes, [label], "inner")
+    sizes = pin(numbered.groupBy(label).agg(F.count("*").alias("_size")))
+    placed = _join_classes(numbered, sizes, label)
     names, upto, out = list(shares), 0.0, None
     for split in names[:-1]:
         upto += shares[split]
@@ -101,10 +112,10 @@ def minmax(df: DataFrame, columns: Sequence[str], suffix: str = "") -> DataFrame
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Weight rows so that every class counts the same in total."""
-    counts = df.groupBy(label).agg(F.count("*").alias("_n"))
+    counts = pin(df.groupBy(label).agg(F.count("*").alias("_n")))
     whole = counts.agg(F.struct(F.sum("_n").alias("n"), F.count("*").alias("k")).alias("s")).scalar()
     weights = counts.select(label, (whole["n"] / (whole["k"] * F.col("_n"))).alias(name))
-    return join_on(df, weights, [label], "inner")
+    return _join_classes(df, weights, label)
 
 
 def oversample(
@@ -118,6 +129,8 @@ def oversample(
     """
     features = list(features)
     rng = random.Random(seed)
+    # Every direction reads the rows twice.
+    df = pin(df.select(label, key, *features))
     scaled = zscore(df.select(label, key, *features), features, suffix="_z")
     pairs = None
     for i in range(neighbours):
@@ -170,13 +183,14 @@ def _with_rows_between(
     df: DataFrame, pairs: DataFrame, label: str, features: Sequence[str], key: str, seed: int
 ) -> DataFrame:
     """The rows, and as many more between the pairs as every class lacks."""
-    sizes = df.groupBy(label).agg(F.count("*").alias("_n"))
+    sizes = pin(df.groupBy(label).agg(F.count("*").alias("_n")))
     top = sizes.agg(F.max("_n")).scalar()
     # Each neighbour pair of a class of n rows gives this many rows or one more.
     missing = sizes.select(label, F.col("_n"), (top - F.col("_n")).alias("_missing")).filter("_missing > 0")
     ranked = with_ordinal(pairs, [stable_bucket([F.lit(str(seed)), key, "_dir"], 1 << 30), key, "_dir"], [label], "_rank")
     totals = pairs.groupBy(label).agg(F.count("*").alias("_pairs"))
-    sized = join_on(join_on(ranked, missing, [label], "inner"), totals, [label], "inner")
+    lacking = pin(join_on(missing, totals, [label], "inner"))
+    sized = _join_classes(ranked, lacking, label)
     each = F.floor(F.col("_missing") / F.col("_pairs")) + F.when(
         F.col("_rank") <= F.col("_missing") % F.col("_pairs"), 1
     ).otherwise(0)
