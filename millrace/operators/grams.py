@@ -59,7 +59,8 @@ def _local_counts(row: np.ndarray, words: pa.Array, codes: np.ndarray, low: int,
         _, first, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
         size = max(len(counts), 1)
         if n >= low:
-            pairs = np.unique(row[at] * size + inverse)
+            pairs = np.sort(row[at] * size + inverse)
+            pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]] if len(pairs) else pairs
             yield n, at[first], counts, np.bincount(pairs % size, minlength=len(counts)).astype(np.int64)
         ids = np.full(len(codes), -1, np.int64)
         ids[at] = inverse

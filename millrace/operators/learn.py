@@ -7,12 +7,12 @@ import math
 import random
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml import classification as mc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
+    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
     VectorAssembler, Word2Vec,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalar import stable_bucket
+from millrace.operators import grams
 from millrace.operators.decompose import project, singular_directions
 from millrace.operators.features import folds
-from millrace.operators.terms import TOKEN
+from millrace.operators.terms import TOKEN, ngrams
 from millrace.session import pin, unpin
 
 
@@ -38,32 +39,48 @@ def fit_text_features(
 ) -> PipelineModel:
     """Fitted transformer from text (and dense columns) to one feature vector.
 
-    Weights are (1 + ln((1+n)/(1+df))) per term with unit-length rows.
+    Weights are (1 + ln((1+n)/(1+df))) per term with unit-length rows. Terms go by total, ties by term.
     """
     low, high = ngram_range
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=TOKEN, gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="_tokens", outputCol="_kept", stopWords=list(stop_words)),
     ]
-    grams = []
-    for n in range(low, high + 1):
-        stages.append(NGram(n=n, inputCol="_kept", outputCol=f"_g{n}"))
-        grams.append(f"_g{n}")
-    stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(grams)}) AS _grams FROM __THIS__"))
-    stages.append(
-        CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=max_features, minDF=min_df, maxDF=max_df)
-    )
-    counted = Pipeline(stages=stages).fit(train)
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counted.transform(train))
-    # MLlib's weight lacks the "1 +".
-    scaled = ElementwiseProduct(
-        inputCol="_counts", outputCol="_weights", scalingVec=Vectors.dense(idf.idf.toArray() + 1.0)
-    )
+    sizes = [f"_g{n}" for n in range(low, high + 1)]
+    stages += [NGram(n=n, inputCol="_kept", outputCol=f"_g{n}") for n in range(low, high + 1)]
+    stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(sizes)}) AS _grams FROM __THIS__"))
+    fitted = PipelineModel(stages=stages[:2]).transform(train).select(F.col("_kept").alias("_tokens"))
+    terms, weights = _vocabulary(fitted, ngram_range, max_features, min_df, max_df)
+    stages.append(CountVectorizerModel.from_vocabulary(terms, "_grams", "_counts"))
+    scaled = ElementwiseProduct(inputCol="_counts", outputCol="_weights", scalingVec=Vectors.dense(weights))
     unit = Normalizer(inputCol="_weights", outputCol="_unit", p=2.0)
     joined = VectorAssembler(inputCols=["_unit", *dense], outputCol=output)
-    drop = ", ".join(["_tokens", "_kept", *grams, "_grams", "_counts", "_weights", "_unit"])
+    drop = ", ".join(["_tokens", "_kept", *sizes, "_grams", "_counts", "_weights", "_unit"])
     tidy = SQLTransformer(statement=f"SELECT * EXCEPT ({drop}) FROM __THIS__")
-    return PipelineModel(stages=[*counted.stages, scaled, unit, joined, tidy])
+    return PipelineModel(stages=[*stages, scaled, unit, joined, tidy])
+
+
+def _vocabulary(
+    listed: DataFrame, ngram_range: tuple[int, int], max_features: int, min_df: float, max_df: float
+) -> tuple[list[str], list[float]]:
+    """The most frequent terms in enough and not too many rows of ``_tokens``, and their weights."""
+    listed = pin(listed)
+    n = listed.count()
+    fewest, most = (v if v >= 1 else v * n for v in (min_df, max_df))
+    found = grams.candidates(listed, ngram_range, max_features, fewest, most)
+    if found is None:  # too many for a task to hold
+        each = listed.select(ngrams(F.col("_tokens"), *ngram_range).alias("_g"))
+        totals = each.select(F.explode("_g").alias("term")).groupBy("term").agg(F.count("*").alias("total"))
+        rows = each.select(F.explode(F.array_distinct("_g")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+        stats = totals.join(rows, "term")
+    else:
+        stats = grams.known_totals(listed, found).groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+    fit = stats.where((F.col("df") >= fewest) & (F.col("df") <= most))
+    best = fit.orderBy(F.desc("total"), "term").limit(max_features).collect()
+    unpin(listed)
+    if not best:
+        raise ValueError("no term is in enough and not too many rows")
+    return [r.term for r in best], [math.log((n + 1.0) / (r.df + 1.0)) + 1.0 for r in best]
 
 
 def fit_word2vec(
@@ -254,13 +271,16 @@ def recursive_elimination(
 ) -> list[str]:
     """Drop the ``step`` least important features and refit until ``k`` are left."""
     left = list(features)
+    # Every forest reads the rows several times.
+    rows = pin(df.select(label, *left))
     while len(left) > k:
         vector = VectorAssembler(inputCols=left, outputCol="features")
-        fitted = classifier("rf", label=label, numTrees=trees).fit(vector.transform(df))
+        fitted = classifier("rf", label=label, numTrees=trees).fit(vector.transform(rows))
         ranked = sorted(zip(fitted.featureImportances.toArray(), left), key=lambda p: (-p[0], p[1]))
         size = max(k, len(left) - step)
         keep = {n for _, n in ranked[:size]}
         left = [n for n in left if n in keep]
+    unpin(rows)
     return left
 
 

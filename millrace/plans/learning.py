@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -90,7 +92,7 @@ def oversampled_near_counts(spark, sf_dir):
 
 @query("nearest_rows", "ML-04")
 def nearest_rows(spark, sf_dir):
-    rows = ft.zscore(_surface(spark, sf_dir), _SURFACE, suffix="_z")
+    rows = ft.zscore(pin(_surface(spark, sf_dir)), _SURFACE, suffix="_z")
     return nearest_neighbours(rows, "doc_id", [f"{c}_z" for c in _SURFACE], 5, by=["quality"])
 
 
@@ -248,10 +250,23 @@ def misclassified_sample(spark, sf_dir):
 def _train_test(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     dense = {n: c.cast("double") for n, c in tx.surface_features("text").items()}
-    rows = docs.select("doc_id", "text", F.col("toxic").cast("double").alias("label"), *[c.alias(n) for n, c in dense.items()])
-    split = ft.stratified_split(rows, "label", "doc_id", {"train": 0.8, "test": 0.2})
-    train = ft.class_weights(split.filter("split = 'train'").drop("split"), "label")
-    return pin(train), split.filter("split = 'test'").drop("split")
+    rows = docs.select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
+    # Features are made after the split, which reads its rows more than once.
+    split = ft.stratified_split(rows, "label", "doc_id", {"train": 0.8, "test": 0.2}).select(
+        "doc_id", "text", "label", *[c.alias(n) for n, c in dense.items()], "split"
+    )
+    train = ft.class_weights(_dealt(split.filter("split = 'train'").drop("split"), "doc_id"), "label")
+    return pin(train), _dealt(split.filter("split = 'test'").drop("split"), "doc_id")
+
+
+# Rows for a task of the training.
+TASK_ROWS = 5_000
+
+
+def _dealt(rows, key):
+    """Rows in parts of about one size, so that every core has its share."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, math.ceil(rows.select(key).count() / TASK_ROWS)), key)
 
 
 def _text_model(train):
