@@ -6,7 +6,9 @@ import itertools
 import math
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml import classification as mc
 from pyspark.ml.clustering import KMeans
@@ -177,13 +179,13 @@ def grid_settings(names: Sequence[str]) -> list[tuple[str, dict]]:
 
 def successive_halving(
     train: DataFrame, candidates: Sequence[tuple[str, dict]], key: Sequence[str] | str, shares: Sequence[float] = (0.1, 0.3, 1.0),
-    keep: float = 1 / 3, metric: str = "f1", label: str = "label", seed: int = 42, **common,
+    keep: float = 1 / 3, metric: str = "f1", label: str = "label", seed: int = 42, parallelism: int = 4, **common,
 ):
     """Search over models and settings with rungs of growing shares of the rows.
 
     A fifth of the rows, by hash of the key, is held out and scores every fit. On each rung all candidates
     left are fitted on that share of the other rows, also by hash, so that a larger share
-    holds the smaller; the best ``keep`` of them, ties by place, go on. The last rung sees
+    holds the smaller, ``parallelism`` of them at a time; the best ``keep`` of them, ties by place, go on. The last rung sees
     all of those rows, and its winner is fitted once more on every row. Returns that model, and a list of
     (rung, model, setting, rows, score, survives).
     """
@@ -198,10 +200,14 @@ def successive_halving(
     for rung, share in enumerate(shares):
         part = pin(rest.where(F.floor(place / 5) < F.lit(round(share * 200_000))))
         n = part.count()
-        scores = {}
-        for i in left:
+
+        def scored(i: int) -> float:
             name, setting = candidates[i]
-            scores[i] = evaluator.evaluate(classifier(name, label=label, **common, **setting).fit(part).transform(held)) if n else 0.0
+            return evaluator.evaluate(classifier(name, label=label, **common, **setting).fit(part).transform(held)) if n else 0.0
+
+        # Fits are many short jobs: one after the other, most cores would wait.
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = dict(zip(left, pool.map(inheritable_thread_target(train.sparkSession)(scored), left)))
         unpin(part)
         ranked = sorted(left, key=lambda i: (-scores[i], i))
         going = ranked[:1] if rung == len(shares) - 1 else ranked[: max(1, math.ceil(len(ranked) * keep))]

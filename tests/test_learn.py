@@ -49,3 +49,21 @@ def test_elimination_reads_its_rows_once(spark):
     rows = spark.range(60).select((F.col("id") % 2).cast("int").alias("y"), *[counted(F.col("id") * k % 7 + F.col("id") % 2 * k).alias(f"f{k}") for k in (1, 2, 3)])
     assert "f3" in learn.recursive_elimination(rows, ["f1", "f2", "f3"], "y", 2, trees=5)
     assert seen.value == 180
+
+
+def test_candidates_of_a_rung_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+
+    from pyspark.ml.linalg import Vectors
+
+    meet, fitted = threading.Barrier(2, timeout=60), learn.classifier
+
+    def waits(*args, **params):
+        if threading.current_thread() is not threading.main_thread():
+            meet.wait()
+        return fitted(*args, **params)
+
+    monkeypatch.setattr(learn, "classifier", waits)
+    train = spark.createDataFrame([(i, float(i % 2), Vectors.dense([i % 2 + 1.0, i % 3])) for i in range(60)], ["id", "label", "features"])
+    _, rows = learn.successive_halving(train, [("nb", {}), ("nb", {"smoothing": 2.0})], "id", shares=(1.0,), parallelism=2)
+    assert not meet.broken and len(rows) == 2
