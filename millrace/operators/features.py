@@ -37,17 +37,24 @@ def stratified_split(
     on partitions or on the run. The last split takes what rounding leaves.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    salted = df.withColumn("_h", stable_bucket([F.lit(str(seed)), *keys], 1 << 30))
-    numbered = with_ordinal(salted, ["_h", *keys], [label])
-    sizes = pin(numbered.groupBy(label).agg(F.count("*").alias("_size")))
+    # Only keys are numbered; wide columns are written once and never sorted.
+    salted = pin(df.withColumn("_h", stable_bucket([F.lit(str(seed)), *keys], 1 << 30)).withColumn("_at", F.monotonically_increasing_id()))
+    order = ["_h", *keys, "_at"]
+    numbered = with_ordinal(salted.select(*dict.fromkeys([label, *order])), order, [label])
+    sizes = pin(salted.groupBy(label).agg(F.count("*").alias("_size")))
     placed = _join_classes(numbered, sizes, label)
-    names, upto, out = list(shares), 0.0, None
-    for split in names[:-1]:
+    names, upto, ends = list(shares), 0.0, []
+    for i, split in enumerate(names[:-1]):
         upto += shares[split]
         inside = F.col(ORDINAL) <= F.round(F.col("_size") * F.lit(round(upto, 12)))
-        out = F.when(inside, split) if out is None else out.when(inside, split)
-    out = F.lit(names[-1]) if out is None else out.otherwise(F.lit(names[-1]))
-    return placed.withColumn(name, out).select(*df.columns, name)
+        ends.append(F.max(F.when(inside, F.struct(*order))).alias(f"_end{i}"))
+    if not ends:
+        return salted.withColumn(name, F.lit(names[-1])).select(*df.columns, name)
+    marked = _join_classes(salted, pin(placed.groupBy(label).agg(*ends)), label)
+    out = F.lit(names[-1])
+    for i in reversed(range(len(ends))):
+        out = F.when(F.struct(*order) <= F.col(f"_end{i}"), names[i]).otherwise(out)
+    return marked.withColumn(name, out).select(*df.columns, name)
 
 
 def folds(df: DataFrame, key: Sequence[str], k: int = 5, name: str = "fold") -> DataFrame:

@@ -7,6 +7,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import keyword_only
+from pyspark.ml import Transformer
+from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -211,6 +217,58 @@ def known_counts(df: DataFrame, keep: Sequence[str], terms: Sequence[str], weigh
     return df.select(*keep, "_tokens").mapInArrow(run, f"{kinds}term string, tf bigint{', weight double' if weights is not None else ''}")
 
 
+def held(terms: Sequence[str]) -> bool:
+    """Whether one number per n-gram holds all of the terms."""
+    split = [t.split(" ") for t in terms]
+    return (len({w for parts in split for w in parts}) + 1) ** max(map(len, split), default=1) < 1 << 63
+
+
+class TermCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Vector of how often each n-gram of the vocabulary stands in a list of tokens; no other n-gram is spelled."""
+
+    vocabularyTerms = Param(Params._dummy(), "vocabularyTerms", "the n-grams that are counted, words joined by spaces", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, vocabulary: Sequence[str] = (), inputCol: str | None = None, outputCol: str | None = None):
+        super().__init__()
+        self._set(vocabularyTerms=list(vocabulary), **{k: v for k, v in (("inputCol", inputCol), ("outputCol", outputCol)) if v})
+
+    @property
+    def vocabulary(self) -> list[str]:
+        return self.getOrDefault(self.vocabularyTerms)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn(self.getOutputCol(), _count_vectors(self.vocabulary)(F.col(self.getInputCol())))
+
+
+def _count_vectors(terms: Sequence[str], block: int = BLOCK_TOKENS):
+    known, size = _Known(terms), len(terms)
+
+    @F.arrow_udf(VectorUDT())
+    def vectors(lists: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        ends, parts, at = np.cumsum(lengths, dtype=np.int64), [], 0
+        while at < len(lists):
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + block, side="right")))
+            words = lists.slice(at, end - at).flatten().dictionary_encode()
+            row = np.repeat(np.arange(end - at), lengths[at:end])
+            found, term, counts = known.counts(row, words.dictionary.cast(pa.string()), words.indices.to_numpy(zero_copy_only=False).astype(np.int64))
+            starts = pa.array(np.r_[0, np.cumsum(np.bincount(found, minlength=end - at))].astype(np.int32))
+            parts.append(pa.StructArray.from_arrays(
+                [
+                    pa.array(np.zeros(end - at, np.int8)), pa.array(np.full(end - at, size, np.int32)),
+                    pa.ListArray.from_arrays(starts, pa.array(term.astype(np.int32))),
+                    pa.ListArray.from_arrays(starts, pa.array(counts.astype(np.float64))),
+                ],
+                ["type", "size", "indices", "values"], mask=lists.slice(at, end - at).is_null(),
+            ))
+            at = end
+        return pa.concat_arrays(parts)
+
+    return vectors
+
+
 def candidates(
     df: DataFrame, ngram_range: tuple[int, int], wanted: int, min_df: float, max_df: float, surplus: int = 0,
     block: int = BLOCK_TOKENS, reported: int | None = None,

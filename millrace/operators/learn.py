@@ -48,17 +48,21 @@ def fit_text_features(
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=TOKEN, gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="_tokens", outputCol="_kept", stopWords=list(stop_words)),
     ]
-    sizes = [f"_g{n}" for n in range(low, high + 1)]
-    stages += [NGram(n=n, inputCol="_kept", outputCol=f"_g{n}") for n in range(low, high + 1)]
-    stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(sizes)}) AS _grams FROM __THIS__"))
-    fitted = PipelineModel(stages=stages[:2]).transform(train).select(F.col("_kept").alias("_tokens"))
+    fitted = PipelineModel(stages=stages).transform(train).select(F.col("_kept").alias("_tokens"))
     terms, weights = _vocabulary(fitted, ngram_range, max_features, min_df, max_df)
-    stages.append(CountVectorizerModel.from_vocabulary(terms, "_grams", "_counts"))
+    made = ["_tokens", "_kept", "_counts", "_weights", "_unit"]
+    if grams.held(terms):
+        stages.append(grams.TermCounts(vocabulary=terms, inputCol="_kept", outputCol="_counts"))
+    else:
+        sizes = [f"_g{n}" for n in range(low, high + 1)]
+        stages += [NGram(n=n, inputCol="_kept", outputCol=f"_g{n}") for n in range(low, high + 1)]
+        stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(sizes)}) AS _grams FROM __THIS__"))
+        stages.append(CountVectorizerModel.from_vocabulary(terms, "_grams", "_counts"))
+        made += [*sizes, "_grams"]
     scaled = ElementwiseProduct(inputCol="_counts", outputCol="_weights", scalingVec=Vectors.dense(weights))
     unit = Normalizer(inputCol="_weights", outputCol="_unit", p=2.0)
     joined = VectorAssembler(inputCols=["_unit", *dense], outputCol=output)
-    drop = ", ".join(["_tokens", "_kept", *sizes, "_grams", "_counts", "_weights", "_unit"])
-    tidy = SQLTransformer(statement=f"SELECT * EXCEPT ({drop}) FROM __THIS__")
+    tidy = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(made)}) FROM __THIS__")
     return PipelineModel(stages=[*stages, scaled, unit, joined, tidy])
 
 

@@ -353,7 +353,8 @@ def saved_model_scores(spark, sf_dir):
 
     train, test = _train_test(spark, sf_dir)
     features = _text_model(train)
-    model = learn.classifier("lr", weight="weight").fit(features.transform(train))
+    ready = pin(features.transform(train).select("label", "weight", "features"))
+    model = learn.classifier("lr", weight="weight").fit(ready)
     path = new_path(spark, "model")
     features.write().overwrite().save(f"{path}/features")
     model.write().overwrite().save(f"{path}/model")
