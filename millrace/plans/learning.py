@@ -302,7 +302,8 @@ def classify_rbf(spark, sf_dir):
     features = _text_model(train)
     ready = pin(features.transform(train).select("doc_id", "label", "weight", "features"))
     gamma = kernel.scale_gamma(ready, "features")
-    model = learn.classifier("svc", features="rbf", weight="weight").fit(kernel.rbf_features(ready, "features", "rbf", gamma, 512))
+    mapped = pin(kernel.rbf_features(ready, "features", "rbf", gamma, 512).select("label", "weight", "rbf"))
+    model = learn.classifier("svc", features="rbf", weight="weight").fit(mapped)
     return learn.score(model, kernel.rbf_features(features.transform(test), "features", "rbf", gamma, 512), ["doc_id", "label"])
 
 
