@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import pin
 
-SLICE, TIE, ORDINAL, BLOCK, HOME = "_slice", "_tie", "_ordinal", "_block", "_home"
+SLICE, TIE, PLACE, ORDINAL, BLOCK, HOME = "_slice", "_tie", "_place", "_ordinal", "_block", "_home"
 
 # Rows per block when a frame reaches back over earlier rows.
 BLOCK_ROWS = 100_000
@@ -29,12 +29,15 @@ def _column(item: Order) -> Column:
     return F.col(item) if isinstance(item, str) else item
 
 
-def _slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[Order]) -> DataFrame:
-    """Range-partition on keys and order, and stamp each row with its slice."""
+def _slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[Order], place: str | None = None) -> DataFrame:
+    """Range-partition on keys and order, and stamp each row with its slice; with ``place`` also with a
+    number that grows by one from row to row of the slice."""
     order = [_column(o) for o in order_by]
     ranged = df.withColumn(TIE, F.monotonically_increasing_id()).repartitionByRange(
         *[F.col(k) for k in keys], *order, F.col(TIE)
     )
+    if place:
+        ranged = ranged.sortWithinPartitions(*[F.col(k) for k in keys], *order, F.col(TIE)).withColumn(place, F.monotonically_increasing_id())
     # The slice numbers must not change under the two reads below.
     return pin(ranged.withColumn(SLICE, F.spark_partition_id()))
 
@@ -113,8 +116,18 @@ def running(
 def with_ordinal(
     df: DataFrame, order_by: Sequence[Order], partition_by: Sequence[str] = (), name: str = ORDINAL
 ) -> DataFrame:
-    """1-based row number per key."""
-    return running(df, order_by, {name: ("*", "count")}, partition_by)
+    """1-based row number per key.
+
+    A slice is sorted before it is written, so places in it give the numbers: rows are neither shuffled
+    by slice nor sorted once more.
+    """
+    keys = list(partition_by)
+    rows = _slices(df, keys, order_by, place=PLACE)
+    slice_keys = [*keys, SLICE]
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(*slice_keys).agg(F.min(PLACE).alias("_first"), F.count("*").alias("_rows"))
+    offsets = parts.select(*slice_keys, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return join_on(rows, offsets, slice_keys).withColumn(name, F.col(PLACE) + F.col("_shift")).drop(SLICE, TIE, PLACE, "_shift")
 
 
 def _blocks(numbered: DataFrame, depth: int) -> DataFrame:

@@ -94,3 +94,22 @@ def test_first_rows_and_chunks(frame, monkeypatch):
     assert set(recent.id) == set(want.id)
     sizes = [r[1] for r in od.chunk_rows(df, ["id"], 150).groupBy("chunk").count().orderBy("chunk").collect()]
     assert sizes == [150, 150, 100]
+
+
+def test_numbers_need_no_shuffle_by_slice(spark):
+    from collections import defaultdict
+
+    rows = [(None if i % 11 == 0 else i % 3, None if i % 17 == 0 else float(i * 7919 % 101), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k int, v double, i int").repartition(5)
+    out = od.with_ordinal(df, [F.col("v").desc(), "i"], ["k"])
+    found = defaultdict(dict)
+    for r in out.collect():
+        found[r.k][r[od.ORDINAL]] = r.i
+    for k in (None, 0, 1, 2):
+        of = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is None, -(r[1] or 0.0), r[2]))
+        assert found[k] == {n: r[2] for n, r in enumerate(of, 1)}
+    alone = od.with_ordinal(df.repartition(4), ["i"])
+    assert {r.i: r[od.ORDINAL] for r in alone.collect()} == {i: i + 1 for i in range(900)}
+    plan = alone._jdf.queryExecution().optimizedPlan().toString()
+    # The only window is over the few totals of the slices.
+    assert plan.count("Window ") == 1 and "Aggregate" in plan[plan.index("Window "):]
