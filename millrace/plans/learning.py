@@ -256,6 +256,8 @@ def _train_test(spark, sf_dir):
         "doc_id", "text", "label", *[c.alias(n) for n, c in dense.items()], "split"
     )
     train = ft.class_weights(_dealt(split.filter("split = 'train'").drop("split"), "doc_id"), "label")
+    # A fit may hang on the order of sums; rows of a part go by label and place in the split, however they came.
+    train = train.sortWithinPartitions("label", scalar.stable_bucket([F.lit("42"), "doc_id"], 1 << 30), "doc_id")
     return pin(train), _dealt(split.filter("split = 'test'").drop("split"), "doc_id")
 
 

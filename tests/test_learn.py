@@ -116,7 +116,8 @@ def test_text_features_spell_no_list_of_all_ngrams(spark):
     assert model.transform(df).columns == ["text", "features"]
 
 
-def test_saved_model_is_fitted_on_features_made_once(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("name", ["saved_model_scores", "classify_rbf"])
+def test_models_are_fitted_on_features_made_once(spark, tmp_path, monkeypatch, name):
     from millrace.plans import load_all
 
     texts = [f"{t} end {'offer now' if i % 3 == 0 else 'see you'}" for i, t in enumerate(_texts(60))]
@@ -133,5 +134,5 @@ def test_saved_model_is_fitted_on_features_made_once(spark, tmp_path, monkeypatc
             return self.estimator.fit(df)
 
     monkeypatch.setattr(learn, "classifier", lambda *a, **k: Fitted(made(*a, **k)))
-    out = load_all()["saved_model_scores"].run(spark, str(tmp_path)).collect()
-    assert len(out) == 12 and "text" not in columns
+    out = load_all()[name].run(spark, str(tmp_path)).collect()
+    assert len(out) == 12 and set(columns) <= {"label", "weight", "features" if name == "saved_model_scores" else "rbf"}
