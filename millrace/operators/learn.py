@@ -27,6 +27,7 @@ from millrace.functions.scalar import stable_bucket
 from millrace.operators import grams
 from millrace.operators.decompose import project, singular_directions
 from millrace.operators.features import folds
+from millrace.operators.perceptron import Perceptron
 from millrace.operators.terms import TOKEN, ngrams
 from millrace.session import pin, unpin
 
@@ -134,7 +135,7 @@ def classifier(name: str, features: str = "features", label: str = "label", weig
     if name == "mlp":
         if width is None:
             raise ValueError("mlp needs the number of features (width)")
-        return mc.MultilayerPerceptronClassifier(**{"layers": [width, 16, 2], "maxIter": 50, "seed": 42, **common})
+        return Perceptron(**{"layers": [width, 16, 2], "maxIter": 50, "seed": 42, **common})
     raise ValueError(f"no classifier is called {name}")
 
 
