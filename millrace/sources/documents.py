@@ -68,7 +68,8 @@ def json_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
     marked = pin(placed.select(
         "file", *_AT, F.when(opens, item).otherwise(F.col("_text")).alias("_text"),
         F.when(~F.col("_listed") & (before_bracket == 1) & (key != ""), F.struct(place.alias("at"), key.alias("key"))).alias("_key"),
-        F.when(opens, place).alias("_start"),
+        # A list inside the list ends the item before it and is none itself.
+        F.when(opens | (F.col("_depth") == top) & F.col("_text").endswith("["), F.struct(*_AT, opens.alias("_opens"))).alias("_start"),
         # Between items nothing belongs to one.
         ((F.col("_depth") > top) | opens).alias("_within"),
     ))
@@ -81,7 +82,7 @@ def json_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "file", *_AT, "_text", "_within",
         F.coalesce(F.max("_key").over(so_far), "_old_key")["key"].alias("_member"),
         F.coalesce(F.max("_start").over(so_far), "_old_start").alias("_item"),
-    ).filter(F.col("_within") & F.col("_item").isNotNull())
+    ).filter(F.col("_within") & F.col("_item._opens"))
     parts = F.sort_array(F.collect_list(F.struct(*_AT, "_text")))
     items = owned.groupBy("file", "_item").agg(F.min_by("_member", place).alias("_member"), parts.alias("_parts"))
     member = F.from_json(F.concat(F.lit('{"k":'), F.col("_member"), F.lit("}")), "k string")["k"]
